@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import enrich, features
+from ..operators import enrich, features, predict, store
+from ..operators.dims import broadcast_if_small
+from ..plans import dashboard as dash
 from ..session import apply_defaults
 from ..sources import testbed
 
@@ -97,3 +99,107 @@ def delay_default(spark, sf_dir):
 def country_lookup(spark, sf_dir):
     """point lookup of one airport's country."""
     return enrich.lookup_country(testbed.airports_dim(spark, sf_dir), LOOKUP_ICAO)
+
+
+# --- fixed predictor -------------------------------------------------------
+# The GBT predictions cannot be checked row by row against SQL, so the queries
+# that test what happens *after* prediction (estimated times, merge, dashboard)
+# use a predictor SQL can state too: the mean training label per airline. The
+# GBT path itself is checked by the ``gbt_*`` queries (row counts only) and by
+# the ML tests.
+
+def group_mean_scored(spark, sf_dir) -> DataFrame:
+    """Scheduled flights scored by the per-airline mean delays of landed flights."""
+    training = features.training_frame(testbed.landed_flights(spark, sf_dir))
+    means = training.groupBy("airline_name").agg(
+        F.avg(features.DEPARTURE_LABEL).alias(predict.DEPARTURE_PREDICTION),
+        F.avg(features.ARRIVAL_LABEL).alias(predict.ARRIVAL_PREDICTION))
+    means, _ = broadcast_if_small(means)
+    scoring = features.scoring_frame(testbed.scheduled_flights(spark, sf_dir))
+    return scoring.join(means, on="airline_name", how="inner")
+
+
+def merged_schedule(spark, sf_dir) -> DataFrame:
+    """Today's table after the estimates were merged into it (K6 as a DataFrame)."""
+    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir))
+    return store.merge_matched(testbed.scheduled_flights(spark, sf_dir), estimates, "id",
+                               ["departure_estimated_time", "arrival_estimated_time"])
+
+
+@query("estimated_times")
+def estimated_times(spark, sf_dir):
+    """The 11-column prediction table."""
+    return predict.prediction_table(group_mean_scored(spark, sf_dir))
+
+
+@query("combine_predictions")
+def combine_predictions(spark, sf_dir):
+    """Departure and arrival predictions scored apart, joined on id."""
+    scored = group_mean_scored(spark, sf_dir)
+    arrivals = scored.drop(predict.DEPARTURE_PREDICTION)
+    departures = scored.drop(predict.ARRIVAL_PREDICTION)
+    return predict.combine_predictions(arrivals, departures).select(
+        "id", predict.DEPARTURE_PREDICTION, predict.ARRIVAL_PREDICTION)
+
+
+@query("merge_estimates")
+def merge_estimates(spark, sf_dir):
+    """Scheduled table after MERGE ... WHEN MATCHED THEN UPDATE SET."""
+    return merged_schedule(spark, sf_dir)
+
+
+@query("dashboard")
+def dashboard_query(spark, sf_dir):
+    """The dashboard's projection of the merged table."""
+    return dash.dashboard(merged_schedule(spark, sf_dir))
+
+
+@query("verify_sample")
+def verify_sample(spark, sf_dir):
+    """First ten merged rows by id."""
+    return dash.verify_sample(merged_schedule(spark, sf_dir), 10)
+
+
+@query("regression_metrics")
+def regression_metrics(spark, sf_dir):
+    """RMSE and MAE of the fixed predictor on the landed flights."""
+    training = features.training_frame(testbed.landed_flights(spark, sf_dir))
+    means = training.groupBy("airline_name").agg(
+        F.avg(features.DEPARTURE_LABEL).alias(predict.DEPARTURE_PREDICTION),
+        F.avg(features.ARRIVAL_LABEL).alias(predict.ARRIVAL_PREDICTION))
+    means, _ = broadcast_if_small(means)
+    scored = training.join(means, on="airline_name", how="inner")
+    parts = []
+    for model, label, pred in (("departure", features.DEPARTURE_LABEL, predict.DEPARTURE_PREDICTION),
+                               ("arrival", features.ARRIVAL_LABEL, predict.ARRIVAL_PREDICTION)):
+        m = predict.regression_metrics(scored, label, pred)
+        parts.append(m.select(F.lit(model).alias("model"),
+                              F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("batch_counts")
+def batch_counts(spark, sf_dir):
+    """Rows per stage: extracted, loaded, training, predicted."""
+    records = testbed.flight_records(spark, sf_dir)
+    enriched = testbed.enriched_flights(spark, sf_dir)
+    training = features.training_frame(testbed.landed_flights(spark, sf_dir))
+    predicted = predict.prediction_table(group_mean_scored(spark, sf_dir))
+
+    def stage_counts(df, conditions):
+        return df.agg(*[F.count_if(cond).alias(name) for name, cond in conditions.items()])
+
+    landed, scheduled = F.col("status") == testbed.LANDED, F.col("status") == testbed.SCHEDULED
+    wide = [
+        stage_counts(records, {"flights_extracted": landed, "scheduled_extracted": scheduled}),
+        stage_counts(enriched, {"flights_loaded": landed, "scheduled_loaded": scheduled}),
+        stage_counts(training, {"training_rows": F.lit(True)}),
+        stage_counts(predicted, {"predicted_rows": F.lit(True)}),
+    ]
+    rows = None
+    for frame in wide:
+        stacked = frame.select(F.explode(F.map_from_arrays(
+            F.array(*[F.lit(c) for c in frame.columns]),
+            F.array(*[F.col(c) for c in frame.columns]))).alias("stage", "row_count"))
+        rows = stacked if rows is None else rows.unionByName(stacked)
+    return rows

@@ -85,6 +85,22 @@ WITH airports_raw AS (
     CAST(month(CAST(departure_scheduled_time AS TIMESTAMPTZ) AT TIME ZONE 'UTC') AS INTEGER) AS scheduled_month,
     0 AS delay_time
   FROM scheduled
+), means AS (
+  SELECT airline_name, avg(departure_delay_minutes) AS predicted_departure_delay,
+         avg(arrival_delay_minutes) AS predicted_arrival_delay
+  FROM training GROUP BY airline_name
+), predictions AS (
+  SELECT id, flight_date, airline_name, departure_airport, arrival_airport,
+         departure_scheduled_time, arrival_scheduled_time,
+         make_timestamp(CAST(trunc((epoch(CAST(departure_scheduled_time AS TIMESTAMPTZ)) + predicted_departure_delay * 60) * 1000000) AS BIGINT)) AS departure_estimated_time,
+         make_timestamp(CAST(trunc((epoch(CAST(arrival_scheduled_time AS TIMESTAMPTZ)) + predicted_arrival_delay * 60) * 1000000) AS BIGINT)) AS arrival_estimated_time,
+         predicted_departure_delay, predicted_arrival_delay
+  FROM scoring JOIN means USING (airline_name)
+), merged AS (
+  SELECT s.*,
+         CASE WHEN p.id IS NOT NULL THEN p.departure_estimated_time END AS departure_estimated_time,
+         CASE WHEN p.id IS NOT NULL THEN p.arrival_estimated_time END AS arrival_estimated_time
+  FROM scheduled s LEFT JOIN predictions p ON s.id = p.id
 )
 """
 
@@ -107,6 +123,50 @@ _QUERIES = {
         SELECT id, delay_time, CAST(delay IS NULL AS INTEGER) AS delay_defaulted
         FROM enriched WHERE status = 'F'""",
     "country_lookup": f"SELECT id, country_name FROM dim WHERE id = '{LOOKUP_ICAO}'",
+    "estimated_times": "SELECT * FROM predictions",
+    "combine_predictions": """
+        SELECT a.id, d.predicted_departure_delay, a.predicted_arrival_delay
+        FROM predictions a JOIN (SELECT id, predicted_departure_delay FROM predictions) d ON a.id = d.id""",
+    "merge_estimates": "SELECT * FROM merged",
+    "dashboard": """
+        SELECT id, flight_date, airline_name, departure_airport, departure_country,
+               departure_timezone, arrival_airport, arrival_country, arrival_timezone,
+               dst AS departure_scheduled_time,
+               (epoch(try_strptime(dst, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS departure_scheduled_time_number,
+               det AS departure_estimated_time,
+               (epoch(try_strptime(det, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS departure_estimated_time_number,
+               ast AS arrival_scheduled_time,
+               (epoch(try_strptime(ast, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS arrival_scheduled_time_number,
+               aet AS arrival_estimated_time,
+               (epoch(try_strptime(aet, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS arrival_estimated_time_number
+        FROM (
+          SELECT *,
+            string_split(string_split(departure_scheduled_time, 'T')[1] || ' ' || string_split(departure_scheduled_time, 'T')[2], '+')[1] AS dst,
+            string_split(CAST(departure_estimated_time AS VARCHAR), '.')[1] AS det,
+            string_split(string_split(arrival_scheduled_time, 'T')[1] || ' ' || string_split(arrival_scheduled_time, 'T')[2], '+')[1] AS ast,
+            string_split(CAST(arrival_estimated_time AS VARCHAR), '.')[1] AS aet
+          FROM merged)""",
+    "verify_sample": """
+        SELECT id, airline_name, departure_airport, arrival_airport, departure_scheduled_time,
+               departure_estimated_time, arrival_scheduled_time, arrival_estimated_time
+        FROM merged ORDER BY id LIMIT 10""",
+    "regression_metrics": """
+        SELECT 'departure' AS model,
+               round(sqrt(avg(power(predicted_departure_delay - departure_delay_minutes, 2))), 6) AS rmse,
+               round(avg(abs(predicted_departure_delay - departure_delay_minutes)), 6) AS mae
+        FROM training JOIN means USING (airline_name)
+        UNION ALL
+        SELECT 'arrival',
+               round(sqrt(avg(power(predicted_arrival_delay - arrival_delay_minutes, 2))), 6),
+               round(avg(abs(predicted_arrival_delay - arrival_delay_minutes)), 6)
+        FROM training JOIN means USING (airline_name)""",
+    "batch_counts": """
+        SELECT 'flights_extracted' AS stage, count(*) AS row_count FROM records WHERE status = 'F'
+        UNION ALL SELECT 'scheduled_extracted', count(*) FROM records WHERE status = 'O'
+        UNION ALL SELECT 'flights_loaded', count(*) FROM enriched WHERE status = 'F'
+        UNION ALL SELECT 'scheduled_loaded', count(*) FROM enriched WHERE status = 'O'
+        UNION ALL SELECT 'training_rows', count(*) FROM training
+        UNION ALL SELECT 'predicted_rows', count(*) FROM predictions""",
 }
 
 
