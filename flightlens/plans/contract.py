@@ -16,7 +16,7 @@ from ..operators import enrich, features, predict, store
 from ..operators.dims import broadcast_if_small
 from ..plans import dashboard as dash
 from ..session import apply_defaults
-from ..sources import testbed
+from ..sources import landing, testbed
 
 # Fixed values of the contract queries (the oracle SQL uses the same ones).
 HUB_COUNTRY = "NATION_7"
@@ -203,3 +203,14 @@ def batch_counts(spark, sf_dir):
             F.array(*[F.col(c) for c in frame.columns]))).alias("stage", "row_count"))
         rows = stacked if rows is None else rows.unionByName(stacked)
     return rows
+
+
+@query("complete_requests")
+def complete_requests(spark, sf_dir):
+    """Records of requests whose pages all landed readable."""
+    recs = landing.records(testbed.api_pages(spark, sf_dir)).withColumn(
+        "flight_code", F.try_variant_get(F.col("record"), "$.flight.icao", "string"))
+    return landing.flight_fields(recs).select(
+        "request_id", F.col("offset").alias("page_offset"), "pos", "record_id", "flight_code",
+        "flight_date", "airline_name", "dep_icao", "arr_icao", "departure_scheduled_time",
+        "delay_time")

@@ -37,7 +37,7 @@ WITH airports_raw AS (
          CAST(l_quantity AS INT) - 10 + 5 * CAST(l_suppkey % 4 AS INT) AS dep_late,
          CAST(l_quantity AS INT) - 15 AS arr_late,
          CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(l_quantity AS INT) END AS delay,
-         l_orderkey, l_discount, l_tax
+         l_orderkey, l_linenumber, l_discount, l_tax
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN customer ON o_custkey = c_custkey
 ), dim AS (
@@ -51,7 +51,7 @@ WITH airports_raw AS (
          'UTC' AS arrival_timezone,
          replace(CAST(dep_sched + INTERVAL '1' HOUR * hours AS VARCHAR), ' ', 'T') || '+00:00' AS arrival_scheduled_time,
          CASE WHEN status = 'F' THEN replace(CAST(dep_sched + INTERVAL '1' HOUR * hours + INTERVAL '1' MINUTE * arr_late AS VARCHAR), ' ', 'T') || '+00:00' END AS arrival_actual_time,
-         delay, l_orderkey, l_discount, l_tax
+         delay, l_orderkey, l_linenumber, l_discount, l_tax
   FROM flights_raw f
 ), enriched AS (
   SELECT r.*, d.airport_name AS departure_airport, d.country_name AS departure_country,
@@ -167,8 +167,40 @@ _QUERIES = {
         UNION ALL SELECT 'scheduled_loaded', count(*) FROM enriched WHERE status = 'O'
         UNION ALL SELECT 'training_rows', count(*) FROM training
         UNION ALL SELECT 'predicted_rows', count(*) FROM predictions""",
+    "complete_requests": """
+        , lines AS (
+          SELECT l_orderkey, id, CAST(floor((l_linenumber - 1) / 2) * 2 AS INTEGER) AS page_offset,
+                 l_discount >= 0.095 AS broken, l_tax >= 0.075 AS null_data,
+                 flight_date, airline_name, dep_icao, arr_icao, departure_scheduled_time,
+                 COALESCE(delay, 0) AS delay_time
+          FROM records WHERE status = 'F'
+        ), totals AS (
+          SELECT l_orderkey, count(*) AS total FROM lines GROUP BY l_orderkey
+        ), pages AS (
+          SELECT l_orderkey, page_offset, total, NOT (bool_or(broken) OR bool_or(null_data)) AS ok
+          FROM lines JOIN totals USING (l_orderkey) GROUP BY l_orderkey, page_offset, total
+        ), stops AS (
+          SELECT l_orderkey, min(page_offset) AS stop FROM pages
+          WHERE ok AND page_offset + 2 >= total GROUP BY l_orderkey
+        ), complete AS (
+          SELECT l_orderkey, stop FROM pages JOIN stops USING (l_orderkey)
+          WHERE page_offset <= stop GROUP BY l_orderkey, stop
+          HAVING count(DISTINCT CASE WHEN ok AND page_offset % 2 = 0 THEN page_offset END) = stop / 2 + 1
+             AND stop % 2 = 0
+        ), positioned AS (
+          SELECT l.*, CAST(row_number() OVER (PARTITION BY l.l_orderkey, l.page_offset ORDER BY id) - 1 AS INTEGER) AS pos
+          FROM lines l JOIN complete c ON l.l_orderkey = c.l_orderkey AND l.page_offset <= c.stop
+        )
+        SELECT CAST(l_orderkey AS VARCHAR) AS request_id, page_offset, pos,
+               sha256(concat_ws(':', 'flights', 'testbed', CAST(l_orderkey AS VARCHAR),
+                                CAST(page_offset AS VARCHAR), CAST(pos AS VARCHAR))) AS record_id,
+               id AS flight_code, flight_date, airline_name, dep_icao, arr_icao,
+               departure_scheduled_time, CAST(delay_time AS INTEGER) AS delay_time
+        FROM positioned""",
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: ADAPTER_SQL + body for name, body in _QUERIES.items()}
+    # A body starting with "," continues the adapter's WITH list.
+    return {name: ADAPTER_SQL + ("" if body.lstrip().startswith(",") else "\n") + body
+            for name, body in _QUERIES.items()}

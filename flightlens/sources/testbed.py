@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dims import airport_dimension
 from ..operators.enrich import with_countries
-from ..schemas import FLIGHTS, SCHEDULED_FLIGHTS
+from ..schemas import FLIGHTS, PAGE_FILES, SCHEDULED_FLIGHTS
 
 # Fixed values of the adapter (must equal the oracle SQL's):
 # supplier ids divisible by 17 are unknown airports, by 13 have an empty
@@ -119,7 +119,7 @@ def flight_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso(arr_sched).alias("arrival_scheduled_time"),
         F.when(landed, _iso(arr_actual)).alias("arrival_actual_time"),
         F.when(F.col("l_returnflag") != "N", quantity).alias("delay"),
-        "l_orderkey", "l_discount", "l_tax")
+        "l_orderkey", "l_linenumber", "l_discount", "l_tax")
 
 
 def enriched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,3 +138,58 @@ def landed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scheduled_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``scheduled_flights`` table as loaded: 11 columns."""
     return enriched_flights(spark, sf_dir).where(F.col("status") == SCHEDULED).to(SCHEDULED_FLIGHTS)
+
+
+# Fixed values of the landed-page fixture (must equal the oracle SQL's): one
+# request per order, its lines as records, page size 2, a line's page chosen by
+# its line number. A page whose lines include a 10 % discount lands as an HTML
+# error body; one with an 8 % tax lands with ``"data": null``.
+PAGE_LIMIT = 2
+PAGE_BATCH_ID = "testbed"
+BROKEN_PAGE_MIN_DISCOUNT = 0.095
+NULL_DATA_MIN_TAX = 0.075
+BROKEN_PAGE_BODY = "<html>502 Bad Gateway</html>"
+
+
+def api_pages(spark: SparkSession, sf_dir: str, status: str = LANDED) -> DataFrame:
+    """Landed page bodies (``PAGE_FILES`` schema) as the flights API would send them.
+
+    Every flight of the given status is a record of its order's request. Line
+    numbers may repeat or skip within an order, so some pages hold more than
+    ``PAGE_LIMIT`` records and some offsets are missing (incomplete requests).
+    A page groups the lines of one order that share a line-number pair, so its
+    size is bounded by the order's size, not by the table's.
+    """
+    recs = flight_records(spark, sf_dir).where(F.col("status") == status)
+    record_json = F.to_json(F.struct(
+        F.col("flight_date"),
+        F.struct(F.col("id").alias("icao")).alias("flight"),
+        F.struct(F.col("airline_name").alias("name")).alias("airline"),
+        F.struct(F.col("dep_icao").alias("icao"), F.col("departure_timezone").alias("timezone"),
+                 F.col("departure_scheduled_time").alias("scheduled"),
+                 F.col("departure_actual_time").alias("actual"),
+                 F.col("delay").alias("delay")).alias("departure"),
+        F.struct(F.col("arr_icao").alias("icao"), F.col("arrival_timezone").alias("timezone"),
+                 F.col("arrival_scheduled_time").alias("scheduled"),
+                 F.col("arrival_actual_time").alias("actual")).alias("arrival")))
+    lines = recs.select(
+        "l_orderkey",
+        (F.floor((F.col("l_linenumber") - 1) / PAGE_LIMIT) * PAGE_LIMIT).cast("int").alias("offset"),
+        F.struct(F.col("id"), record_json.alias("json")).alias("item"),
+        (F.col("l_discount") >= BROKEN_PAGE_MIN_DISCOUNT).alias("broken"),
+        (F.col("l_tax") >= NULL_DATA_MIN_TAX).alias("null_data"))
+    totals = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("total"))
+    pages = (lines.groupBy("l_orderkey", "offset")
+             .agg(F.sort_array(F.collect_list("item")).alias("items"),
+                  F.max("broken").alias("broken"), F.max("null_data").alias("null_data"))
+             .join(totals, on="l_orderkey"))
+    head = F.concat(F.lit('{"pagination":{"total":'), F.col("total").cast("string"), F.lit('},"data":'))
+    body = (F.when(F.col("broken"), F.lit(BROKEN_PAGE_BODY))
+            .when(F.col("null_data"), F.concat(head, F.lit("null}")))
+            .otherwise(F.concat(head, F.lit("["),
+                                F.array_join(F.transform("items", lambda x: x["json"]), ","),
+                                F.lit("]}"))))
+    return pages.select(
+        body.alias("value"), F.lit("flights").alias("dataset"), F.lit(PAGE_BATCH_ID).alias("batch_id"),
+        F.col("l_orderkey").cast("string").alias("request_id"),
+        F.lit(PAGE_LIMIT).alias("limit"), F.col("offset")).to(PAGE_FILES)
