@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import enrich, features, predict, store
+from ..operators import enrich, features, model, predict, store
 from ..operators.dims import broadcast_if_small
 from ..plans import dashboard as dash
 from ..session import apply_defaults
@@ -214,3 +214,67 @@ def complete_requests(spark, sf_dir):
         "request_id", F.col("offset").alias("page_offset"), "pos", "record_id", "flight_code",
         "flight_date", "airline_name", "dep_icao", "arr_icao", "departure_scheduled_time",
         "delay_time")
+
+
+# --- models -------------------------------------------------------------------
+
+def _landed_training(spark, sf_dir) -> DataFrame:
+    return features.training_frame(testbed.landed_flights(spark, sf_dir))
+
+
+@query("category_index")
+def category_index(spark, sf_dir):
+    """Each category's index (frequency descending, then value ascending)."""
+    training = _landed_training(spark, sf_dir)
+    model.check_vocabulary(training)
+    indexer = model.feature_pipeline().getStages()[0].fit(training)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                 F.col(model.index_col(c)).cast("int").alias("category_index"))
+        for c in features.CATEGORICAL_COLUMNS]))
+    return (indexer.transform(training).select(pairs.alias("p")).select("p.*")
+            .where(F.col("value").isNotNull()).distinct())
+
+
+@query("one_hot_slots")
+def one_hot_slots(spark, sf_dir):
+    """M2: active one-hot slot per category of each scheduled flight; NULL when unseen.
+
+    Fits indexers and encoder on the landed flights. The encoder keeps one slot
+    per seen category and drops the last one, which is the "unseen" index, so
+    the active slot is the category index when it is below the encoder's size.
+    """
+    training = _landed_training(spark, sf_dir)
+    model.check_vocabulary(training)
+    fitted = model.feature_pipeline().fit(training)
+    # categorySizes counts the "unseen" index too; dropLast removes that slot.
+    slots = {c: n - 1 for c, n in zip(features.CATEGORICAL_COLUMNS, fitted.stages[1].categorySizes)}
+    indexed = fitted.stages[0].transform(features.scoring_frame(testbed.scheduled_flights(spark, sf_dir)))
+    return indexed.select("id", *[
+        F.when(F.col(model.index_col(c)) < slots[c], F.col(model.index_col(c)).cast("int"))
+         .alias(f"{c}_slot") for c in features.CATEGORICAL_COLUMNS])
+
+
+def _gbt_predictions(spark, sf_dir, target):
+    fitted = model.fit_delay_models(_landed_training(spark, sf_dir), targets=(target,))
+    scored = model.score(fitted, features.scoring_frame(testbed.scheduled_flights(spark, sf_dir)))
+    return scored.select("id", model.TARGETS[target][1])
+
+
+@query("gbt_departure")
+def gbt_departure(spark, sf_dir):
+    """Departure-delay GBT (50 rounds, depth 5) scored on the scheduled flights."""
+    return _gbt_predictions(spark, sf_dir, "departure")
+
+
+@query("gbt_arrival")
+def gbt_arrival(spark, sf_dir):
+    """M5, M7: arrival-delay GBT scored on the scheduled flights."""
+    return _gbt_predictions(spark, sf_dir, "arrival")
+
+
+@query("evaluate_models")
+def evaluate_models(spark, sf_dir):
+    """M8, M9: both models fitted on 80 %, RMSE and MAE on the other 20 %."""
+    _, metrics = model.train_and_evaluate(testbed.landed_flights(spark, sf_dir), mode="holdout")
+    return metrics

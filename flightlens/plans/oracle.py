@@ -96,6 +96,16 @@ WITH airports_raw AS (
          make_timestamp(CAST(trunc((epoch(CAST(arrival_scheduled_time AS TIMESTAMPTZ)) + predicted_arrival_delay * 60) * 1000000) AS BIGINT)) AS arrival_estimated_time,
          predicted_departure_delay, predicted_arrival_delay
   FROM scoring JOIN means USING (airline_name)
+), vocab AS (
+  SELECT column_name, value,
+         CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) - 1 AS INTEGER) AS category_index
+  FROM (SELECT column_name, value, count(*) AS n FROM (
+          SELECT 'airline_name' AS column_name, airline_name AS value FROM training
+          UNION ALL SELECT 'departure_airport', departure_airport FROM training
+          UNION ALL SELECT 'arrival_airport', arrival_airport FROM training
+          UNION ALL SELECT 'departure_country', departure_country FROM training
+          UNION ALL SELECT 'arrival_country', arrival_country FROM training) t
+        WHERE value IS NOT NULL GROUP BY column_name, value) c
 ), merged AS (
   SELECT s.*,
          CASE WHEN p.id IS NOT NULL THEN p.departure_estimated_time END AS departure_estimated_time,
@@ -197,6 +207,20 @@ _QUERIES = {
                id AS flight_code, flight_date, airline_name, dep_icao, arr_icao,
                departure_scheduled_time, CAST(delay_time AS INTEGER) AS delay_time
         FROM positioned""",
+    "category_index": "SELECT column_name, value, category_index FROM vocab",
+    "one_hot_slots": """
+        SELECT s.id,
+               v1.category_index AS airline_name_slot,
+               v2.category_index AS departure_airport_slot,
+               v3.category_index AS arrival_airport_slot,
+               v4.category_index AS departure_country_slot,
+               v5.category_index AS arrival_country_slot
+        FROM scheduled s
+        LEFT JOIN vocab v1 ON v1.column_name = 'airline_name' AND v1.value = s.airline_name
+        LEFT JOIN vocab v2 ON v2.column_name = 'departure_airport' AND v2.value = s.departure_airport
+        LEFT JOIN vocab v3 ON v3.column_name = 'arrival_airport' AND v3.value = s.arrival_airport
+        LEFT JOIN vocab v4 ON v4.column_name = 'departure_country' AND v4.value = s.departure_country
+        LEFT JOIN vocab v5 ON v5.column_name = 'arrival_country' AND v5.value = s.arrival_country""",
 }
 
 
