@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..operators import enrich, features, model, predict, store
 from ..operators.dims import broadcast_if_small
 from ..plans import dashboard as dash
-from ..session import apply_defaults
+from ..schemas import SCHEDULED_FLIGHTS
+from ..session import apply_defaults, scratch_location
 from ..sources import landing, testbed
 
 # Fixed values of the contract queries (the oracle SQL uses the same ones).
@@ -278,3 +279,29 @@ def evaluate_models(spark, sf_dir):
     """M8, M9: both models fitted on 80 %, RMSE and MAE on the other 20 %."""
     _, metrics = model.train_and_evaluate(testbed.landed_flights(spark, sf_dir), mode="holdout")
     return metrics
+
+
+# --- table maintenance ----------------------------------------------------------
+
+# Fixed value: the scheduled flights are loaded as two daily pulls, split here.
+RESET_SPLIT_DATE = "1998-01-01"
+
+
+@query("reset_then_load")
+def reset_then_load(spark, sf_dir):
+    """Load a day, empty the table, load the next day -> only the last load.
+
+    Writes real catalog tables into a fresh database under the session's
+    checkpoint storage, then returns the table as read back.
+    """
+    import uuid
+
+    store_ = store.TableStore(spark, f"flightlens_{uuid.uuid4().hex[:12]}",
+                              scratch_location(spark, "store"))
+    scheduled = testbed.scheduled_flights(spark, sf_dir)
+    first = scheduled.where(F.col("flight_date") < RESET_SPLIT_DATE)
+    second = scheduled.where(F.col("flight_date") >= RESET_SPLIT_DATE)
+    store_.append(first, "scheduled_flights", SCHEDULED_FLIGHTS)
+    store_.reset("scheduled_flights")
+    store_.append(second, "scheduled_flights", SCHEDULED_FLIGHTS)
+    return store_.read("scheduled_flights")

@@ -23,6 +23,9 @@ def dashboard(scheduled: DataFrame) -> DataFrame:
     NULL or unparsable time gives NULL text or number, never an error. A pure
     projection: no shuffle, pruned to the columns it reads.
     """
+    for name in ("departure_estimated_time", "arrival_estimated_time"):
+        if name not in scheduled.columns:  # table not merged into yet
+            scheduled = scheduled.withColumn(name, F.lit(None).cast("timestamp"))
     texts = {
         "departure_scheduled_time": wall_time_text("departure_scheduled_time"),
         "departure_estimated_time": whole_seconds_text("departure_estimated_time"),

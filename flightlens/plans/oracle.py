@@ -221,6 +221,7 @@ _QUERIES = {
         LEFT JOIN vocab v3 ON v3.column_name = 'arrival_airport' AND v3.value = s.arrival_airport
         LEFT JOIN vocab v4 ON v4.column_name = 'departure_country' AND v4.value = s.departure_country
         LEFT JOIN vocab v5 ON v5.column_name = 'arrival_country' AND v5.value = s.arrival_country""",
+    "reset_then_load": "SELECT * FROM scheduled WHERE flight_date >= '1998-01-01'",
 }
 
 
