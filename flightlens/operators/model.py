@@ -55,26 +55,39 @@ def encoded_col(c: str) -> str:
     return f"{c}_encoded"
 
 
-def feature_columns(include_delay_time: bool = True) -> list[str]:
+ONEHOT, CATEGORICAL = "onehot", "categorical"
+
+
+def feature_columns(include_delay_time: bool = True, encoding: str = ONEHOT) -> list[str]:
     numeric = [c for c in features.NUMERIC_COLUMNS if include_delay_time or c != "delay_time"]
-    return [encoded_col(c) for c in features.CATEGORICAL_COLUMNS] + numeric
+    block = encoded_col if encoding == ONEHOT else index_col
+    return [block(c) for c in features.CATEGORICAL_COLUMNS] + numeric
 
 
-def feature_pipeline(include_delay_time: bool = True) -> Pipeline:
-    """M1-M3: StringIndexer(keep) -> OneHotEncoder(dropLast) -> VectorAssembler(skip).
+def feature_pipeline(include_delay_time: bool = True, encoding: str = ONEHOT) -> Pipeline:
+    """M1-M3: StringIndexer(keep) -> [OneHotEncoder(dropLast)] -> VectorAssembler(skip).
 
     Category order is frequency descending, then value ascending; NULL and
-    unseen values go to the extra "keep" index, which is the slot the encoder
-    drops, so they encode as all zeros. Rows with a NULL numeric feature are
-    skipped at assembly, in training and in scoring alike (F6).
+    unseen values go to the extra "keep" index. Rows with a NULL numeric
+    feature are skipped at assembly, in training and in scoring alike (F6).
+
+    ``encoding="onehot"`` is the reference's layout: one slot per seen
+    category, the "keep" index is the dropped slot, so unseen encodes as all
+    zeros. ``encoding="categorical"`` assembles the five indices themselves;
+    the indexer's nominal metadata marks them categorical, so the trees split
+    on sets of categories and the vector stays nine wide however many
+    airports exist (the tree learner bins every feature of every row, so a
+    one-hot block as wide as the airport list costs that much per row).
     """
     cats = features.CATEGORICAL_COLUMNS
     indexer = StringIndexer(inputCols=cats, outputCols=[index_col(c) for c in cats],
                             handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=feature_columns(include_delay_time, encoding),
+                                outputCol="features", handleInvalid="skip")
+    if encoding == CATEGORICAL:
+        return Pipeline(stages=[indexer, assembler])
     encoder = OneHotEncoder(inputCols=[index_col(c) for c in cats],
                             outputCols=[encoded_col(c) for c in cats])
-    assembler = VectorAssembler(inputCols=feature_columns(include_delay_time),
-                                outputCol="features", handleInvalid="skip")
     return Pipeline(stages=[indexer, encoder, assembler])
 
 
@@ -94,11 +107,12 @@ class DelayModels:
     features: PipelineModel
     regressors: dict[str, GBTRegressionModel]
     include_delay_time: bool = True
+    encoding: str = ONEHOT
 
     def category_sizes(self) -> dict[str, int]:
-        """Width of each one-hot block: seen categories (the unseen slot is dropped)."""
-        encoder = self.features.stages[1]
-        return {c: n - 1 for c, n in zip(features.CATEGORICAL_COLUMNS, encoder.categorySizes)}
+        """Seen categories per column (the width of its one-hot block)."""
+        indexer = self.features.stages[0]
+        return {c: len(labels) for c, labels in zip(features.CATEGORICAL_COLUMNS, indexer.labelsArray)}
 
 
 def _helper_columns() -> list[str]:
@@ -108,21 +122,28 @@ def _helper_columns() -> list[str]:
 
 def fit_delay_models(training: DataFrame, targets=("departure", "arrival"),
                      max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH,
-                     include_delay_time: bool = True) -> DelayModels:
+                     include_delay_time: bool = True, encoding: str = CATEGORICAL) -> DelayModels:
     """M4-M6: fit the shared feature stage once, then one GBT per target.
 
     ``training`` is the output of ``features.training_frame``. The vectors are
     persisted once for all fits (each GBT round reads them several times).
+    With categorical encoding ``maxBins`` is raised to the largest category
+    count (the learner needs one bin per category); continuous features keep
+    at most that many candidate thresholds.
     """
     check_vocabulary(training)
-    feature_model = feature_pipeline(include_delay_time).fit(training)
+    feature_model = feature_pipeline(include_delay_time, encoding).fit(training)
+    max_bins = 32
+    if encoding == CATEGORICAL:
+        # labels + the "keep" index
+        max_bins = max([max_bins] + [len(l) + 1 for l in feature_model.stages[0].labelsArray])
     labels = [TARGETS[t][0] for t in targets]
     vectors = (feature_model.transform(training).select("features", *labels)
                .persist(StorageLevel.MEMORY_AND_DISK))
     def fit_one(target: str) -> GBTRegressionModel:
         label, prediction = TARGETS[target]
         gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol=prediction,
-                           maxIter=max_iter, maxDepth=max_depth)
+                           maxIter=max_iter, maxDepth=max_depth, maxBins=max_bins)
         return gbt.fit(vectors)
 
     try:
@@ -133,7 +154,7 @@ def fit_delay_models(training: DataFrame, targets=("departure", "arrival"),
     finally:
         vectors.unpersist()
     regressors = dict(zip(targets, fitted))
-    return DelayModels(feature_model, regressors, include_delay_time)
+    return DelayModels(feature_model, regressors, include_delay_time, encoding)
 
 
 def score(models: DelayModels, frame: DataFrame) -> DataFrame:
@@ -141,7 +162,7 @@ def score(models: DelayModels, frame: DataFrame) -> DataFrame:
     out = models.features.transform(frame)
     for t, model in models.regressors.items():
         out = model.transform(out)
-    return out.drop(*_helper_columns())
+    return out.drop(*[c for c in _helper_columns() if c in out.columns])
 
 
 def split(training: DataFrame, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
@@ -167,7 +188,8 @@ def evaluation(models: DelayModels, test: DataFrame) -> DataFrame:
 def train_and_evaluate(flights: DataFrame, mode: str = "in_sample",
                        max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH,
                        include_delay_time: bool = True,
-                       targets=("departure", "arrival")) -> tuple[DelayModels, DataFrame]:
+                       targets=("departure", "arrival"),
+                       encoding: str = CATEGORICAL) -> tuple[DelayModels, DataFrame]:
     """Prepare, fit and evaluate (M8, M9, SURVEY T5).
 
     ``mode="in_sample"`` reproduces the reference: fit on all rows, report on
@@ -181,7 +203,7 @@ def train_and_evaluate(flights: DataFrame, mode: str = "in_sample",
     training = features.training_frame(flights).checkpoint(eager=True)
     train, test = split(training)
     fit_rows = training if mode == "in_sample" else train
-    models = fit_delay_models(fit_rows, targets, max_iter, max_depth, include_delay_time)
+    models = fit_delay_models(fit_rows, targets, max_iter, max_depth, include_delay_time, encoding)
     return models, evaluation(models, test)
 
 
