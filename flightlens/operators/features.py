@@ -17,8 +17,8 @@ NUMERIC_COLUMNS = ["delay_time", "scheduled_hour", "scheduled_day_of_week", "sch
 DEPARTURE_LABEL = "departure_delay_minutes"
 ARRIVAL_LABEL = "arrival_delay_minutes"
 
-_TIME_TEXTS = ["departure_scheduled_time", "departure_actual_time",
-               "arrival_scheduled_time", "arrival_actual_time"]
+_TIME_TEXTS_ORDERED = ["departure_scheduled_time", "departure_actual_time",
+                       "arrival_scheduled_time", "arrival_actual_time"]
 
 
 def with_delay_default(df: DataFrame, column: str = "delay_time") -> DataFrame:
@@ -32,27 +32,26 @@ def training_frame(flights: DataFrame, drop_unparsable: bool = True) -> DataFram
     """Landed flights -> labels in minutes and calendar features.
 
     F1: all four time texts must be present. Texts that do not parse give
-    NULL labels; those rows are dropped (GBT rejects NULL labels).
+    NULL timestamps; those rows are dropped before the labels are derived
+    (a label is NULL exactly when one of its two timestamps is, and GBT
+    rejects NULL labels). Filtering on the parsed timestamps, not on the
+    labels, keeps the optimizer from re-deriving the labels inside the filter.
     """
     df = flights.where(F.col("departure_actual_time").isNotNull()
                        & F.col("arrival_actual_time").isNotNull()
                        & F.col("departure_scheduled_time").isNotNull()
                        & F.col("arrival_scheduled_time").isNotNull())
-    df = df.withColumns({
-        "departure_scheduled_ts": parse_time("departure_scheduled_time"),
-        "departure_actual_ts": parse_time("departure_actual_time"),
-        "arrival_scheduled_ts": parse_time("arrival_scheduled_time"),
-        "arrival_actual_ts": parse_time("arrival_actual_time"),
-    })
+    stamps = ["departure_scheduled_ts", "departure_actual_ts", "arrival_scheduled_ts", "arrival_actual_ts"]
+    df = df.withColumns({ts: parse_time(text) for ts, text in zip(stamps, _TIME_TEXTS_ORDERED)})
+    if drop_unparsable:
+        df = df.where(F.col(stamps[0]).isNotNull() & F.col(stamps[1]).isNotNull()
+                      & F.col(stamps[2]).isNotNull() & F.col(stamps[3]).isNotNull())
     df = df.withColumns({
         DEPARTURE_LABEL: minutes_between("departure_actual_ts", "departure_scheduled_ts"),
         ARRIVAL_LABEL: minutes_between("arrival_actual_ts", "arrival_scheduled_ts"),
         **calendar_parts("departure_scheduled_ts"),
     })
-    df = with_delay_default(df)
-    if drop_unparsable:
-        df = df.where(F.col(DEPARTURE_LABEL).isNotNull() & F.col(ARRIVAL_LABEL).isNotNull())
-    return df
+    return with_delay_default(df)
 
 
 def scoring_frame(scheduled: DataFrame) -> DataFrame:
