@@ -63,14 +63,20 @@ def scheduled_enriched(spark, sf_dir):
 
 @query("hub_union")
 def hub_union(spark, sf_dir):
-    """Arrivals at and departures from the hub, bag union (duplicates kept)."""
+    """Arrivals at and departures from the hub, bag union (duplicates kept).
+
+    One pass: each flight is tagged with every hub request it answers and
+    exploded, so a flight with both ends at the hub appears twice, as in the
+    union of the two requests, without scanning the flights twice.
+    """
     landed = testbed.landed_flights(spark, sf_dir)
+    requests = F.array(F.when(F.col("arrival_country") == HUB_COUNTRY, F.lit("arr")),
+                       F.when(F.col("departure_country") == HUB_COUNTRY, F.lit("dep")))
     cols = ["id", "flight_date", "airline_name", "departure_country", "arrival_country"]
-    arrivals = landed.where(F.col("arrival_country") == HUB_COUNTRY).select(
-        F.lit("arr").alias("request_id"), *cols)
-    departures = landed.where(F.col("departure_country") == HUB_COUNTRY).select(
-        F.lit("dep").alias("request_id"), *cols)
-    return arrivals.unionByName(departures)
+    return (landed.where((F.col("arrival_country") == HUB_COUNTRY)
+                         | (F.col("departure_country") == HUB_COUNTRY))
+            .select(F.explode(requests).alias("request_id"), *cols)
+            .where(F.col("request_id").isNotNull()))
 
 
 @query("training_labels")
