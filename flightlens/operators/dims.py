@@ -59,8 +59,10 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
 
     The size is measured, not estimated: the frame is persisted (it is used by
     both the departure and the arrival join) and its exact payload summed.
-    Beyond the limit the frame is returned unhinted, so the planner uses a
-    shuffle join, and AQE splits a hot key (the hub airport) on the large side.
+    Beyond the limit the frame is hinted ``shuffle_hash``: both sides shuffle
+    on the key, each task hashes its slice of this (smaller) side and streams
+    the other without sorting it, and AQE splits a hot key (the hub airport)
+    on the large side into several tasks.
     """
     limit = broadcast_max_bytes(df.sparkSession) if max_bytes is None else max_bytes
     if persist:
@@ -68,4 +70,4 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
     _, size = measured_bytes(df)
     if size <= limit:
         return F.broadcast(df), True
-    return df, False
+    return df.hint("shuffle_hash"), False
