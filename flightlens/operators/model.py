@@ -131,13 +131,24 @@ def fit_delay_models(training: DataFrame, targets=("departure", "arrival"),
     count (the learner needs one bin per category); continuous features keep
     at most that many candidate thresholds.
     """
+    labels = [TARGETS[t][0] for t in targets]
+    # The input is read by the vocabulary check, the indexer fit and the
+    # vector transform; keep one narrow copy for all three.
+    training = (training.select(*features.CATEGORICAL_COLUMNS, *features.NUMERIC_COLUMNS, *labels)
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return _fit(training, targets, labels, max_iter, max_depth, include_delay_time, encoding)
+    finally:
+        training.unpersist()
+
+
+def _fit(training, targets, labels, max_iter, max_depth, include_delay_time, encoding):
     check_vocabulary(training)
     feature_model = feature_pipeline(include_delay_time, encoding).fit(training)
     max_bins = 32
     if encoding == CATEGORICAL:
         # labels + the "keep" index
         max_bins = max([max_bins] + [len(l) + 1 for l in feature_model.stages[0].labelsArray])
-    labels = [TARGETS[t][0] for t in targets]
     vectors = (feature_model.transform(training).select("features", *labels)
                .persist(StorageLevel.MEMORY_AND_DISK))
     def fit_one(target: str) -> GBTRegressionModel:

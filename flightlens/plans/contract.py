@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -229,10 +230,17 @@ def _landed_training(spark, sf_dir) -> DataFrame:
     return features.training_frame(testbed.landed_flights(spark, sf_dir))
 
 
+def _category_input(spark, sf_dir) -> DataFrame:
+    """The five category columns of the training rows, persisted: read by the
+    vocabulary check, the indexer fit and the transform."""
+    return (_landed_training(spark, sf_dir).select(*features.CATEGORICAL_COLUMNS)
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
 @query("category_index")
 def category_index(spark, sf_dir):
     """Each category's index (frequency descending, then value ascending)."""
-    training = _landed_training(spark, sf_dir)
+    training = _category_input(spark, sf_dir)
     model.check_vocabulary(training)
     indexer = model.feature_pipeline().getStages()[0].fit(training)
     pairs = F.explode(F.array(*[
@@ -251,9 +259,10 @@ def one_hot_slots(spark, sf_dir):
     per seen category and drops the last one, which is the "unseen" index, so
     the active slot is the category index when it is below the encoder's size.
     """
-    training = _landed_training(spark, sf_dir)
+    training = _category_input(spark, sf_dir)
     model.check_vocabulary(training)
-    fitted = model.feature_pipeline().fit(training)
+    fitted = model.feature_pipeline(encoding=model.ONEHOT).fit(
+        training.withColumns({c: F.lit(0) for c in features.NUMERIC_COLUMNS}))
     # categorySizes counts the "unseen" index too; dropLast removes that slot.
     slots = {c: n - 1 for c, n in zip(features.CATEGORICAL_COLUMNS, fitted.stages[1].categorySizes)}
     indexed = fitted.stages[0].transform(features.scoring_frame(testbed.scheduled_flights(spark, sf_dir)))
