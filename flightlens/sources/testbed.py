@@ -16,8 +16,10 @@ Nothing is sampled or capped: every line of ``lineitem`` becomes a flight.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.dims import airport_dimension
 from ..operators.enrich import with_countries
@@ -32,8 +34,17 @@ REPEAT_MOD, REPEAT_REMAINDER = 10, 1
 LANDED, SCHEDULED = "F", "O"
 
 
+# Parquet schemas already read, by path: a table is read several times per
+# query, and each schema inference is a job of its own.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _str(c) -> Column:
@@ -70,6 +81,20 @@ def airports_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_dimension(airports_raw(spark, sf_dir))
 
 
+# The dimension as last persisted, per (session, test-data folder). A query
+# that reads landed and scheduled flights enriches both from one copy.
+_DIMENSIONS: dict[tuple[int, str], DataFrame] = {}
+
+
+def persisted_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``airports_dim``, persisted once and reused while it stays cached."""
+    key = (id(spark), sf_dir)
+    dim = _DIMENSIONS.get(key)
+    if dim is None or dim.storageLevel == StorageLevel.NONE:  # new, or released by clearCache
+        dim = _DIMENSIONS[key] = airports_dim(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    return dim
+
+
 def flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem joined to its order and customer, with the raw line columns."""
     lineitem = read_table(spark, sf_dir, "lineitem").select(
@@ -77,8 +102,12 @@ def flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    # Orders grow with lineitem, so this join is a shuffle join on the order
+    # key at any scale (never a broadcast of a fact table). It is also what
+    # spreads the lines over tasks: the scan of a file with few row groups
+    # yields few partitions, the shuffle yields spark.sql.shuffle.partitions.
     return (lineitem
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(customer, F.col("o_custkey") == F.col("c_custkey")))
 
 
@@ -125,8 +154,8 @@ def flight_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All flights with both countries found; keeps ``status`` for splitting."""
     records = flight_records(spark, sf_dir)
-    joined = with_countries(records, airports_dim(spark, sf_dir),
-                            airport_names_from_dimension=True)
+    joined = with_countries(records, persisted_dimension(spark, sf_dir),
+                            airport_names_from_dimension=True, persist_dimension=False)
     return joined.withColumn("delay_time", F.coalesce(F.col("delay"), F.lit(0)))
 
 
