@@ -215,8 +215,14 @@ def batch_counts(spark, sf_dir):
 
 @query("complete_requests")
 def complete_requests(spark, sf_dir):
-    """Records of requests whose pages all landed readable."""
-    recs = landing.records(testbed.api_pages(spark, sf_dir)).withColumn(
+    """Records of requests whose pages all landed readable.
+
+    The gate reads the pages twice (page metadata, then the bodies of kept
+    pages), as it would re-read landed files. Here the pages are derived from
+    lineitem by a shuffle, so they are materialised once, as landed files are.
+    """
+    pages = testbed.api_pages(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    recs = landing.records(pages).withColumn(
         "flight_code", F.try_variant_get(F.col("record"), "$.flight.icao", "string"))
     return landing.flight_fields(recs).select(
         "request_id", F.col("offset").alias("page_offset"), "pos", "record_id", "flight_code",
