@@ -184,16 +184,7 @@ def split(training: DataFrame, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataF
 
 def evaluation(models: DelayModels, test: DataFrame) -> DataFrame:
     """RMSE and MAE per model on ``test`` (one row per model)."""
-    scored = score(models, test)
-    parts = []
-    for t in models.regressors:
-        label, prediction = TARGETS[t]
-        parts.append(predict.regression_metrics(scored, label, prediction)
-                     .select(F.lit(t).alias("model"), "rmse", "mae", "rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return predict.metrics_per_model(score(models, test), {t: TARGETS[t] for t in models.regressors})
 
 
 def train_and_evaluate(flights: DataFrame, mode: str = "in_sample",

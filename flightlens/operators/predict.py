@@ -54,7 +54,20 @@ def regression_metrics(predictions: DataFrame, label: str, prediction: str) -> D
 
     Rows with a NULL label or prediction are ignored, as ``avg`` ignores them.
     """
-    err = F.col(prediction) - F.col(label)
-    return predictions.agg(F.sqrt(F.avg(err * err)).alias("rmse"),
-                           F.avg(F.abs(err)).alias("mae"),
-                           F.count(err).alias("rows"))
+    return metrics_per_model(predictions, {"": (label, prediction)}).drop("model")
+
+
+def metrics_per_model(predictions: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """RMSE, MAE and row count of each ``model -> (label, prediction)`` pair.
+
+    All pairs are aggregated in one pass over ``predictions`` (one partial
+    aggregate per task, one tiny final row), then turned into one row per model.
+    """
+    aggs, rows = [], []
+    for i, (name, (label, prediction)) in enumerate(pairs.items()):
+        err = F.col(prediction) - F.col(label)
+        aggs += [F.avg(err * err).alias(f"_mse{i}"), F.avg(F.abs(err)).alias(f"_mae{i}"),
+                 F.count(err).alias(f"_rows{i}")]
+        rows.append(F.struct(F.lit(name).alias("model"), F.sqrt(f"_mse{i}").alias("rmse"),
+                             F.col(f"_mae{i}").alias("mae"), F.col(f"_rows{i}").alias("rows")))
+    return predictions.agg(*aggs).select(F.inline(F.array(*rows)))

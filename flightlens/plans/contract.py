@@ -177,13 +177,10 @@ def regression_metrics(spark, sf_dir):
         F.avg(features.ARRIVAL_LABEL).alias(predict.ARRIVAL_PREDICTION))
     means, _ = broadcast_if_small(means)
     scored = training.join(means, on="airline_name", how="inner")
-    parts = []
-    for model, label, pred in (("departure", features.DEPARTURE_LABEL, predict.DEPARTURE_PREDICTION),
-                               ("arrival", features.ARRIVAL_LABEL, predict.ARRIVAL_PREDICTION)):
-        m = predict.regression_metrics(scored, label, pred)
-        parts.append(m.select(F.lit(model).alias("model"),
-                              F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae")))
-    return parts[0].unionByName(parts[1])
+    metrics = predict.metrics_per_model(scored, {
+        "departure": (features.DEPARTURE_LABEL, predict.DEPARTURE_PREDICTION),
+        "arrival": (features.ARRIVAL_LABEL, predict.ARRIVAL_PREDICTION)})
+    return metrics.select("model", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
 
 
 @query("batch_counts")
