@@ -6,7 +6,7 @@ and scoring derive the features the same way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import calendar_parts, minutes_between, parse_time
@@ -28,6 +28,15 @@ def with_delay_default(df: DataFrame, column: str = "delay_time") -> DataFrame:
     return df.withColumn(column, F.lit(0))
 
 
+def has_training_times() -> Column:
+    """F1 and T8 as one predicate: all four time texts present and parseable.
+
+    True exactly for the rows ``training_frame`` keeps (with ``drop_unparsable``).
+    """
+    parsed = [parse_time(text).isNotNull() for text in _TIME_TEXTS_ORDERED]
+    return parsed[0] & parsed[1] & parsed[2] & parsed[3]
+
+
 def training_frame(flights: DataFrame, drop_unparsable: bool = True) -> DataFrame:
     """Landed flights -> labels in minutes and calendar features.
 
