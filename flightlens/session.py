@@ -58,6 +58,43 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes per shuffle partition when a job sizes its shuffles, and the
+# most partitions it will ask for (100 TB / 128 MB is about 800k; past the cap
+# partitions grow instead, and spill).
+SHUFFLE_TARGET_BYTES_CONF = "flightlens.shuffle.targetBytes"
+SHUFFLE_TARGET_BYTES_DEFAULT = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def input_bytes(df) -> int:
+    """Bytes of the relations ``df`` reads, from the optimizer's statistics.
+
+    The sum over the plan's leaves (file sizes for file scans, cached sizes
+    for persisted frames). No job runs. Estimates of joins are not used: they
+    multiply row counts and are meaningless without table statistics.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def size_shuffle_partitions(spark: SparkSession, *frames) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``frames`` gets
+    about ``flightlens.shuffle.targetBytes`` of input per partition.
+
+    Never lowers the setting (a cluster's own larger value wins, and small
+    inputs keep the default); AQE coalesces partitions that turn out small, and
+    splits a skewed join partition, but never splits an oversized partition of
+    an aggregation, so the count must be large enough up front.
+    """
+    target = int(spark.conf.get(SHUFFLE_TARGET_BYTES_CONF, str(SHUFFLE_TARGET_BYTES_DEFAULT)))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-sum(input_bytes(f) for f in frames) // target))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current
+
+
 def broadcast_max_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES_DEFAULT)))
 

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 from ..operators.dims import airport_dimension
 from ..operators.enrich import with_countries
 from ..schemas import FLIGHTS, PAGE_FILES, SCHEDULED_FLIGHTS
+from ..session import size_shuffle_partitions
 
 # Fixed values of the adapter (must equal the oracle SQL's):
 # supplier ids divisible by 17 are unknown airports, by 13 have an empty
@@ -102,6 +103,7 @@ def flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    size_shuffle_partitions(spark, lineitem, orders)
     # Orders grow with lineitem, so this join is a shuffle join on the order
     # key at any scale (never a broadcast of a fact table). It is also what
     # spreads the lines over tasks: the scan of a file with few row groups

@@ -37,3 +37,10 @@ def test_dashboard_is_a_projection(spark):
     sched = testbed.scheduled_flights(spark, SF_SMALL)
     base = _plan(sched).count("Exchange")
     assert _plan(dashboard.dashboard(sched)).count("Exchange") == base
+
+
+def test_lines_join_orders_by_shuffle(spark):
+    """Orders grow with lineitem: never broadcast, whatever the file sizes."""
+    plan = _plan(testbed.flight_lines(spark, SF_SMALL))
+    assert "SortMergeJoin" in plan
+    assert plan.count("BroadcastHashJoin") == 1  # customer only

@@ -51,3 +51,26 @@ def test_calendar_parts_sunday_is_one(spark):
 def test_bad_time_text_gives_null_not_error(spark):
     df = spark.createDataFrame([("garbage",)], "a string")
     assert df.select(times.parse_time("a")).first()[0] is None
+
+
+def test_training_predicate_keeps_what_training_frame_keeps(spark):
+    from flightlens.operators import features
+    from flightlens.schemas import FLIGHTS
+
+    good = "2026-02-13T16:26:40+00:00"
+    texts = [good, None, "not a time", "2026-02-13T16:26:40-06:00"]
+    rows = []
+    for i, t in enumerate(texts):
+        for j in range(4):
+            times4 = [good] * 4
+            times4[j] = t
+            rows.append((f"f{i}-{j}", *times4))
+    df = spark.createDataFrame(rows, "id string, departure_scheduled_time string, "
+                                     "departure_actual_time string, arrival_scheduled_time string, "
+                                     "arrival_actual_time string")
+    flights = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
+                          .alias(f.name) for f in FLIGHTS.fields])
+    kept = {r.id for r in features.training_frame(flights).select("id").collect()}
+    flagged = {r.id for r in flights.where(features.has_training_times()).select("id").collect()}
+    assert kept == flagged
+    assert len(kept) == 8  # the good and the offset rows; none with a missing or bad text
