@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,15 +67,27 @@ SHUFFLE_TARGET_BYTES_DEFAULT = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 200_000
 
 
+# Plan leaves whose size statistics are the bytes of the stored files.
+_STORED_RELATIONS = {"LogicalRelation", "HiveTableRelation", "DataSourceV2Relation",
+                     "DataSourceV2ScanRelation"}
+
+
 def input_bytes(df) -> int:
-    """Bytes of the relations ``df`` reads, from the optimizer's statistics.
+    """Bytes of the stored relations ``df`` reads, from the optimizer's statistics.
 
-    The sum over the plan's leaves (file sizes for file scans, cached sizes
-    for persisted frames). No job runs. Estimates of joins are not used: they
-    multiply row counts and are meaningless without table statistics.
+    The sum over the plan's leaves that are file or catalog scans (their
+    statistics are file sizes). No job runs. Other leaves count as 0: a
+    checkpointed or cached frame carries the estimate of the plan it came
+    from, and estimates of joins multiply row counts, which is meaningless
+    without table statistics.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName() in _STORED_RELATIONS:
+            total += int(str(leaf.stats().sizeInBytes()))
+    return total
 
 
 def size_shuffle_partitions(spark: SparkSession, *frames) -> int:
@@ -95,6 +108,22 @@ def size_shuffle_partitions(spark: SparkSession, *frames) -> int:
     return current
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, *frames):
+    """``size_shuffle_partitions`` for the jobs run inside the block only.
+
+    The setting is read when a job is planned, so this scopes it to the
+    actions of one pipeline step; afterwards the session's value is restored.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    size_shuffle_partitions(spark, *frames)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def broadcast_max_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES_DEFAULT)))
 

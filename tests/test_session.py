@@ -37,3 +37,26 @@ def test_shuffle_partitions_are_raised_never_lowered(spark):
     finally:
         spark.conf.unset(SHUFFLE_TARGET_BYTES_CONF)
         spark.conf.set(key, before)
+
+
+def test_frames_without_statistics_do_not_inflate_the_count(spark):
+    """A checkpointed frame has no size statistics; it must not read as "huge"."""
+    staged = spark.range(10).checkpoint(eager=True)
+    assert input_bytes(staged) == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffle_partitions(spark, staged) == int(before)
+
+
+def test_sized_shuffles_restores_the_setting(spark):
+    from flightlens.session import sized_shuffles
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    lineitem = testbed.read_table(spark, SF_SMALL, "lineitem")
+    spark.conf.set(SHUFFLE_TARGET_BYTES_CONF, "10000")
+    try:
+        with sized_shuffles(spark, lineitem):
+            assert int(spark.conf.get(key)) > int(before)
+        assert spark.conf.get(key) == before
+    finally:
+        spark.conf.unset(SHUFFLE_TARGET_BYTES_CONF)
