@@ -21,7 +21,8 @@ def with_countries(flights: DataFrame, dimension: DataFrame,
                    dep_code: str = "dep_icao", arr_code: str = "arr_icao",
                    airport_names_from_dimension: bool = False,
                    max_broadcast_bytes: int | None = None,
-                   persist_dimension: bool = True) -> DataFrame:
+                   persist_dimension: bool = True,
+                   size_checked: bool = False) -> DataFrame:
     """Add ``departure_country`` and ``arrival_country`` by two equi-joins.
 
     ``dimension`` must have one row per ``id`` (see ``airport_dimension``).
@@ -29,9 +30,13 @@ def with_countries(flights: DataFrame, dimension: DataFrame,
     the flights are never shuffled; otherwise both joins shuffle on the codes.
     With ``airport_names_from_dimension`` the airport names also come from the
     dimension (used when the flight records carry codes only). A caller that
-    manages the dimension's caching itself passes ``persist_dimension=False``.
+    manages the dimension's caching itself passes ``persist_dimension=False``;
+    one that already ran ``broadcast_if_small`` on it passes ``size_checked=True``.
     """
-    dim, _ = broadcast_if_small(dimension, max_broadcast_bytes, persist=persist_dimension)
+    if size_checked:
+        dim = dimension
+    else:
+        dim, _ = broadcast_if_small(dimension, max_broadcast_bytes, persist=persist_dimension)
     kept = flights.where((F.col(dep_code) != "") & (F.col(arr_code) != ""))
 
     def side(prefix: str, code: str) -> DataFrame:

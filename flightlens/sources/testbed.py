@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.dims import airport_dimension
+from ..operators.dims import airport_dimension, broadcast_if_small
 from ..operators.enrich import with_countries
 from ..schemas import FLIGHTS, PAGE_FILES, SCHEDULED_FLIGHTS
 from ..session import size_shuffle_partitions
@@ -82,18 +82,25 @@ def airports_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return airport_dimension(airports_raw(spark, sf_dir))
 
 
-# The dimension as last persisted, per (session, test-data folder). A query
-# that reads landed and scheduled flights enriches both from one copy.
-_DIMENSIONS: dict[tuple[int, str], DataFrame] = {}
+# The dimension as last persisted, and its join side after the size check,
+# per (session, test-data folder). A query that reads landed and scheduled
+# flights enriches both from one copy, measured once.
+_DIMENSIONS: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def persisted_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``airports_dim``, persisted once and reused while it stays cached."""
+    """``airports_dim``, persisted and size-checked once, reused while it stays cached.
+
+    Returns the join side: broadcast when the measured size is within the
+    limit, hinted for a shuffled hash join otherwise.
+    """
     key = (id(spark), sf_dir)
-    dim = _DIMENSIONS.get(key)
-    if dim is None or dim.storageLevel == StorageLevel.NONE:  # new, or released by clearCache
-        dim = _DIMENSIONS[key] = airports_dim(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    return dim
+    held = _DIMENSIONS.get(key)
+    if held is None or held[0].storageLevel == StorageLevel.NONE:  # new, or released by clearCache
+        persisted = airports_dim(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        side, _ = broadcast_if_small(persisted, persist=False)
+        held = _DIMENSIONS[key] = (persisted, side)
+    return held[1]
 
 
 def flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +164,7 @@ def enriched_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All flights with both countries found; keeps ``status`` for splitting."""
     records = flight_records(spark, sf_dir)
     joined = with_countries(records, persisted_dimension(spark, sf_dir),
-                            airport_names_from_dimension=True, persist_dimension=False)
+                            airport_names_from_dimension=True, size_checked=True)
     return joined.withColumn("delay_time", F.coalesce(F.col("delay"), F.lit(0)))
 
 
