@@ -179,20 +179,14 @@ VERIFY_ROWS = 10
 def verify_sample(spark, sf_dir):
     """First ten merged rows by id.
 
-    The MERGE updates matched rows in place, one source row per target row,
-    so it never adds, drops or re-keys a row: the first ten rows of the merged
-    table are the first ten target rows with the merge applied. So the top ten
-    are taken first (a top-k per task, no sort of the table; ten rows kept),
-    and only their estimates are computed and merged in, through a semi-join
-    against those ten keys. No step joins the whole table.
+    Only the first ten scheduled rows are merged (``store.merged_first_rows``):
+    the MERGE keeps every row and its id, so the result is the same, and no
+    step joins the whole table to show ten rows.
     """
-    first = (testbed.scheduled_flights(spark, sf_dir).orderBy("id").limit(VERIFY_ROWS)
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    keys = F.broadcast(first.select("id"))  # at most VERIFY_ROWS rows
-    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir)).join(
-        keys, on="id", how="left_semi")
-    merged = store.merge_matched(first, estimates, "id",
-                                 ["departure_estimated_time", "arrival_estimated_time"])
+    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir))
+    merged = store.merged_first_rows(testbed.scheduled_flights(spark, sf_dir), estimates, "id",
+                                     ["departure_estimated_time", "arrival_estimated_time"],
+                                     VERIFY_ROWS)
     return dash.verify_sample(merged, VERIFY_ROWS)
 
 
