@@ -81,7 +81,10 @@ def input_bytes(df) -> int:
     from, and estimates of joins multiply row counts, which is meaningless
     without table statistics.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:  # a Spark Connect session has no plan handle here: size unknown
+        return 0
+    leaves = jdf.queryExecution().optimizedPlan().collectLeaves()
     total = 0
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
