@@ -96,7 +96,8 @@ def persisted_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (id(spark), sf_dir)
     held = _DIMENSIONS.get(key)
-    if held is None or held[0].storageLevel == StorageLevel.NONE:  # new, or released by clearCache
+    # new, from another session that got the same id, or released by clearCache
+    if held is None or held[0].sparkSession is not spark or held[0].storageLevel == StorageLevel.NONE:
         persisted = airports_dim(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
         side, _ = broadcast_if_small(persisted, persist=False)
         held = _DIMENSIONS[key] = (persisted, side)
