@@ -41,20 +41,22 @@ def training_frame(flights: DataFrame, drop_unparsable: bool = True) -> DataFram
     """Landed flights -> labels in minutes and calendar features.
 
     F1: all four time texts must be present. Texts that do not parse give
-    NULL timestamps; those rows are dropped before the labels are derived
-    (a label is NULL exactly when one of its two timestamps is, and GBT
-    rejects NULL labels). Filtering on the parsed timestamps, not on the
-    labels, keeps the optimizer from re-deriving the labels inside the filter.
+    NULL timestamps; with ``drop_unparsable`` those rows are dropped too (a
+    label is NULL exactly when one of its two timestamps is, and GBT rejects
+    NULL labels). A parsed time is non-NULL only when its text is, so then
+    one test on the four parsed times is F1 and T8 together; a second test on
+    the texts would be pushed down as well and evaluated on every row.
+    Filtering on the parsed timestamps, not on the labels, keeps the optimizer
+    from re-deriving the labels inside the filter.
     """
-    df = flights.where(F.col("departure_actual_time").isNotNull()
-                       & F.col("arrival_actual_time").isNotNull()
-                       & F.col("departure_scheduled_time").isNotNull()
-                       & F.col("arrival_scheduled_time").isNotNull())
     stamps = ["departure_scheduled_ts", "departure_actual_ts", "arrival_scheduled_ts", "arrival_actual_ts"]
-    df = df.withColumns({ts: parse_time(text) for ts, text in zip(stamps, _TIME_TEXTS_ORDERED)})
+    df = flights.withColumns({ts: parse_time(text) for ts, text in zip(stamps, _TIME_TEXTS_ORDERED)})
     if drop_unparsable:
         df = df.where(F.col(stamps[0]).isNotNull() & F.col(stamps[1]).isNotNull()
                       & F.col(stamps[2]).isNotNull() & F.col(stamps[3]).isNotNull())
+    else:
+        df = df.where(F.col(_TIME_TEXTS_ORDERED[0]).isNotNull() & F.col(_TIME_TEXTS_ORDERED[1]).isNotNull()
+                      & F.col(_TIME_TEXTS_ORDERED[2]).isNotNull() & F.col(_TIME_TEXTS_ORDERED[3]).isNotNull())
     df = df.withColumns({
         DEPARTURE_LABEL: minutes_between("departure_actual_ts", "departure_scheduled_ts"),
         ARRIVAL_LABEL: minutes_between("arrival_actual_ts", "arrival_scheduled_ts"),
