@@ -129,11 +129,13 @@ def airline_means(training: DataFrame) -> DataFrame:
     return means
 
 
-def group_mean_scored(spark, sf_dir) -> DataFrame:
-    """Scheduled flights scored by the per-airline mean delays of landed flights."""
+def group_mean_scored(spark, sf_dir, scheduled: DataFrame | None = None) -> DataFrame:
+    """Scheduled flights (all, or the given ones) scored by the per-airline
+    mean delays of landed flights."""
     means = airline_means(features.training_frame(testbed.landed_flights(spark, sf_dir)))
-    scoring = features.scoring_frame(testbed.scheduled_flights(spark, sf_dir))
-    return scoring.join(means, on="airline_name", how="inner")
+    if scheduled is None:
+        scheduled = testbed.scheduled_flights(spark, sf_dir)
+    return features.scoring_frame(scheduled).join(means, on="airline_name", how="inner")
 
 
 def merged_schedule(spark, sf_dir) -> DataFrame:
@@ -181,10 +183,14 @@ def verify_sample(spark, sf_dir):
 
     Only the first ten scheduled rows are merged (``store.merged_first_rows``):
     the MERGE keeps every row and its id, so the result is the same, and no
-    step joins the whole table to show ten rows.
+    step joins the whole table to show ten rows. A row's estimate depends on
+    that row alone (its features and the fitted predictor), so only those ten
+    rows are scored.
     """
-    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir))
-    merged = store.merged_first_rows(testbed.scheduled_flights(spark, sf_dir), estimates, "id",
+    first = (testbed.scheduled_flights(spark, sf_dir).orderBy("id").limit(VERIFY_ROWS)
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir, scheduled=first))
+    merged = store.merged_first_rows(first, estimates, "id",
                                      ["departure_estimated_time", "arrival_estimated_time"],
                                      VERIFY_ROWS)
     return dash.verify_sample(merged, VERIFY_ROWS)
