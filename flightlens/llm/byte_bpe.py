@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlens.llm.chunks import ChunkCodes
-from flightlens.llm.common import slices
+from flightlens.llm.common import map_arrow, slices
 
 _NO_RANK = np.int32(2**31 - 1)
 _BUCKETS = (4, 8, 12, 16, 24, 32, 64, 128, 256)
@@ -241,5 +241,5 @@ def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id"
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
-    return out.withColumnRenamed("id", id_col)
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return map_arrow(texts, run, schema).withColumnRenamed("id", id_col)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once for an application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="flightlens-ship-"), "flightlens_package.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with the package shipped to the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def slices(batches, rows: int) -> Iterator:
     """Arrow record batches cut to at most ``rows`` rows."""
     for batch in batches:

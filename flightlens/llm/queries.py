@@ -7,10 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlens.llm import byte_bpe
+from flightlens.llm import byte_bpe, token_codes
 from flightlens.llm.common import read_table
 
 
+#: Id that ends every document in the code files.
+DOCUMENT_END = 2
+
+
+def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_codes.round_trip(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), DOCUMENT_END)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(
         read_table(spark, sf_dir, "documents"),
@@ -19,6 +28,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_codes": op2_token_codes,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
