@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlens.llm import byte_bpe, token_codes
+from flightlens.llm import byte_bpe, html_text, simhash, token_codes
 from flightlens.llm.common import read_table
 
 
@@ -20,6 +20,14 @@ def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), DOCUMENT_END)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(read_table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(
         read_table(spark, sf_dir, "documents"),
@@ -29,6 +37,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_codes": op2_token_codes,
+        "op3_html_text": op3_html_text,
+        "op6_simhash": op6_simhash,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
