@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlens.llm import byte_bpe, html_text, simhash, token_codes
+from flightlens.llm import byte_bpe, html_text, language_id, quality_rules, simhash, token_codes
 from flightlens.llm.common import read_table
 
 
@@ -24,10 +24,18 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(read_table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(
         read_table(spark, sf_dir, "documents"),
@@ -38,10 +46,12 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_codes": op2_token_codes,
         "op3_html_text": op3_html_text,
+        "op5_quality_rules": op5_quality_rules,
         "op6_simhash": op6_simhash,
+        "op8_language_id": op8_language_id,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": quality_rules.ORACLE_SQL}
