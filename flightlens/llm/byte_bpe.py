@@ -204,9 +204,7 @@ def _codec(path: str, pattern: str) -> tuple[ByteBpe, ChunkCodes]:
 def encode_texts(texts: list[str], path: str, pattern: str) -> list[np.ndarray]:
     """Ids of each text."""
     _, codes = _codec(path, pattern)
-    parts = codes.cut_all(texts)
-    code = codes.lookup(parts)
-    return [np.frombuffer(b"".join(map(code, part)), "<i4") for part in parts]
+    return [np.frombuffer(ids, "<i4") for ids in codes.codes(codes.cut_all(texts))]
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -223,7 +221,7 @@ def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id"
 
     def run(batches):
         bpe, _ = _codec(path, pattern)
-        for batch in slices(batches, 400):
+        for batch in slices(batches, 1000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             count, digest, decoded, kept = [], [], [], []
             for ids in encode_texts(texts, path, pattern):

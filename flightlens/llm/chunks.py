@@ -17,34 +17,47 @@ from collections.abc import Callable
 # wider than any library's notion of white space, which only means fewer cuts.
 _CUT = re.compile("(?<=[^\\s᠎​﻿])(?= [^\\s᠎​﻿])")
 _ODD = re.compile("[\\s᠎​﻿]")
+_SEEN = 1 << 22
 
 
 class ChunkCodes:
-    """Codes (bytes or any value) of text chunks, kept across batches of a Python worker.
+    """Codes (bytes) of text chunks, kept across batches of a Python worker.
 
-    ``encode`` maps a list of chunks to their codes. The cache holds at most
-    ``limit`` chunks of at most 48 characters and starts anew beyond that, so
-    its memory is bounded whatever the text.
+    ``encode`` maps a list of chunks to their codes. A chunk is kept from its
+    second sight on (words met once are most of all distinct words); at most
+    ``limit`` chunks of at most 48 characters are kept, so memory is bounded
+    whatever the text. Where a full cache no longer serves the text at hand,
+    it starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 250_000):
         self.encode, self.limit = encode, limit
-        self.cache: dict = {}
+        self.cache: dict[str, bytes] = {}
+        self.seen = bytearray(_SEEN)
         self.odd: set[str] = {"", " "}
 
-    def lookup(self, texts: list[list[str]]):
-        """A function chunk -> code that knows every chunk of ``texts``."""
-        wanted = set().union(*texts) if texts else set()
-        if len(self.cache) > self.limit:
-            self.cache.clear()
+    def codes(self, parts: list[list[str]]) -> list[bytes]:
+        """The joined codes of each list of chunks."""
+        wanted = set().union(*parts)
         missing = list(wanted - self.cache.keys())
-        codes = dict(zip(missing, self.encode(missing))) if missing else {}
-        long = {c: v for c, v in codes.items() if len(c) > 48}
-        self.cache.update((c, v) for c, v in codes.items() if c not in long)
-        if not long:
-            return self.cache.__getitem__
         known = self.cache
-        return lambda c: known[c] if c in known else long[c]
+        if missing:
+            fresh = dict(zip(missing, self.encode(missing)))
+            anew = len(known) >= self.limit and 4 * len(missing) > 3 * len(wanted)
+            seen = self.seen
+            for chunk, code in fresh.items():
+                place = hash(chunk) & (_SEEN - 1)
+                if not seen[place]:
+                    seen[place] = 1
+                elif len(known) < self.limit and len(chunk) <= 48:
+                    known[chunk] = code
+            served = known
+            known = {**{chunk: known[chunk] for chunk in wanted & known.keys()}, **fresh}
+            if anew:
+                served.clear()
+                self.seen = bytearray(_SEEN)
+        code = known.__getitem__
+        return [b"".join(map(code, part)) for part in parts]
 
     def cut(self, text: str) -> list[str]:
         """Chunks that keep their leading blank; line feeds stand alone."""
@@ -56,22 +69,28 @@ class ChunkCodes:
         return parts
 
     def cut_all(self, texts: list[str]) -> list[list[str]]:
-        """``cut`` for each text, with chunks that hold other white space looked for once each."""
+        """``cut`` for each text; a text whose plain cut holds other white space is cut by the pattern."""
         parts = [self.cut(t) for t in texts]
         fresh = set().union(*parts) - self.cache.keys() - {"\n"}
-        odd = {c for c in fresh if c not in self.odd and _ODD.search(c, 1 if c[:1] == " " else 0)}
+        odd = {c for c in _with_white_space(fresh) if c not in self.odd}
         if odd:
             if len(self.odd) > self.limit:  # both anew: a cached odd chunk must be known as odd
                 self.odd = {"", " "}
                 self.cache.clear()
             parts = [p if odd.isdisjoint(p) else [c for c in _CUT.split(t) if c]
                      for t, p in zip(texts, parts)]
-            # Chunks with inner white space are right when they come from _CUT; a
-            # text whose plain cut holds one is always cut by _CUT.
             self.odd |= {c for c in odd if len(c) <= 48}
         return parts
 
 
+def _with_white_space(chunks: set[str]) -> list[str]:
+    """Chunks with white space other than a leading blank, looked for in one text of all of them."""
+    joined = "\0".join(c[1:] if c[:1] == " " else c for c in chunks)
+    if not _ODD.search(joined):
+        return []
+    return [c for c in chunks if _ODD.search(c, 1 if c[:1] == " " else 0)]
+
+
 def words(text: str) -> list[str]:
     """Cuts at blanks and line feeds, which are dropped (for vocabularies that skip white space)."""
     return text.replace("\n", " ").split(" ")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -22,8 +24,8 @@ def _codes(path: str) -> ChunkCodes:
         out = []
         for at in range(0, len(chunks), 4096):
             found = tokenizer.encode_batch_fast(chunks[at:at + 4096], add_special_tokens=False)
-            out += [np.array(e.ids, "<u4").tobytes() for e in found]
-        return out
+            out += [array("I", e.ids).tobytes() for e in found]
+        return out if sys.byteorder == "little" else [np.frombuffer(b, ">u4").astype("<u4").tobytes() for b in out]
 
     return ChunkCodes(encode)
 
@@ -37,5 +39,4 @@ def ids_bytes(texts: list[str], path: str, drops_white_space: bool) -> list[byte
     """
     codes = _codes(path)
     parts = [words(t) for t in texts] if drops_white_space else codes.cut_all(texts)
-    code = codes.lookup(parts)
-    return [b"".join(map(code, part)) for part in parts]
+    return codes.codes(parts)

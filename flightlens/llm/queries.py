@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlens.llm import byte_bpe, html_text, language_id, quality_rules, simhash, token_codes
+from flightlens.llm import byte_bpe, html_text, language_id, packing, quality_rules, simhash, token_codes
 from flightlens.llm.common import read_table
 
 
@@ -36,6 +36,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(
         read_table(spark, sf_dir, "documents"),
@@ -49,6 +54,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_simhash": op6_simhash,
         "op8_language_id": op8_language_id,
+        "op9_packing": op9_packing,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
