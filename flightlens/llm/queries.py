@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlens.llm import byte_bpe, html_text, language_id, packing, quality_rules, simhash, token_codes
+from flightlens.llm import (
+    byte_bpe, embedding_dedup, html_text, language_id, line_dedup, packing, quality_rules, simhash, token_codes)
 from flightlens.llm.common import read_table
 
 
@@ -24,6 +25,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -32,6 +37,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(read_table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.report(read_table(spark, sf_dir, "documents"))
 
@@ -51,8 +60,10 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_codes": op2_token_codes,
         "op3_html_text": op3_html_text,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_simhash": op6_simhash,
+        "op7_line_dedup": op7_line_dedup,
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_byte_bpe": op10_byte_bpe,
@@ -60,4 +71,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules.ORACLE_SQL}
+    return {"op5_quality_rules": quality_rules.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL}

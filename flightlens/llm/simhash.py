@@ -148,20 +148,31 @@ def tile_links(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text", keep: tuple[str, ...] = (), column: str = "fingerprint",
-                    root: str = "component_id") -> DataFrame:
-    """Each row's ``id_col`` (and ``keep`` columns) with its fingerprint (a long) and the component's smallest id."""
-    rows = stored(fingerprints(df.where(F.lit(True)), shingle, text_col, "fp__", (id_col, *keep)), "simhash-rows")
-    ids = rows.select(F.col(id_col).alias("id"), F.col("fp__").alias("fp"))
-    classes = stored(ids.groupBy("fp").agg(F.min("id").alias("first")), "simhash-classes")
-    found = components(tile_links(classes.select("fp"), radius), "simhash-components")
-    grouped = classes.join(found.select(F.col("node").alias("fp"), F.col("root").alias("top")), "fp", "left")
-    grouped = grouped.withColumn("top", F.coalesce("top", "fp"))
-    smallest = grouped.groupBy("top").agg(F.min("first").alias("smallest"))
-    named = grouped.join(smallest, "top").select(F.col("fp").alias("fp__"), F.col("smallest").alias(root))
-    return (rows.join(named, "fp__")
-            .withColumn(root, F.when(F.col(id_col).isNotNull(), F.col(root)))
-            .withColumnRenamed("fp__", column))
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (its bits as a long) and component_id (the component's smallest id) for each row."""
+    found = fingerprints(df, shingle, text_col, "fingerprint", (id_col,)).withColumnRenamed(id_col, "doc_id")
+    rows = stored(found, "simhash-rows")
+    classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    linked = components(tile_links(classes.select(F.col("fingerprint").alias("fp")), radius), "simhash-components")
+    grouped = (classes.join(linked.toDF("fingerprint", "top"), "fingerprint", "left")
+               .withColumn("top", F.coalesce("top", "fingerprint")))
+    smallest = grouped.groupBy("top").agg(F.min("first").alias("component_id"))
+    named = grouped.join(smallest, "top").select("fingerprint", "component_id")
+    own = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", own.alias("component_id"))
+
+
+def one_of_each(df: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``df`` with the document of smallest id of every component; of rows that repeat an id one stays."""
+    found = stored(near_duplicates(df, shingle, radius, id_col, text_col).select("doc_id", "component_id"),
+                   "simhash-found")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone__")).distinct()
+    kept = df.join(gone, F.col(id_col) == F.col("gone__"), "left_anti")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(id_col).isNull()))
 
 
 def report(df: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
