@@ -34,8 +34,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and resemble trusted text."""
     rows, name = _renamed(docs)
-    weights = quality_rules.weights(rows, read_table(spark, sf_dir, "labels"), name["doc_id"], name["text"])
-    judged = quality_rules.judge(rows, weights, rows.columns, name["text"])
+    fitted = quality_rules.fit(rows, read_table(spark, sf_dir, "labels"), name["doc_id"], name["text"])
+    judged = quality_rules.judge(rows, *fitted, rows.columns, name["text"])
     return judged.where("kept").select(*rows.columns).toDF(*docs.columns)
 
 

@@ -30,7 +30,7 @@ class ChunkCodes:
     it starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self.cache: dict[str, bytes] = {}
         self.seen = bytearray(_SEEN)

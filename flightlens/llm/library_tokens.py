@@ -13,19 +13,37 @@ from flightlens.llm.chunks import ChunkCodes, words
 
 
 @lru_cache(maxsize=4)
-def _codes(path: str) -> ChunkCodes:
+def _codes(path: str, drops_white_space: bool) -> ChunkCodes:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
+    word = tokenizer.model.tokenize
+    little = sys.byteorder == "little"
+
+    def packed(ids) -> bytes:
+        return array("I", ids).tobytes() if little else np.array(ids, "<u4").tobytes()
+
     def encode(chunks: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(chunks), 4096):
-            found = tokenizer.encode_batch_fast(chunks[at:at + 4096], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in found]
-        return out if sys.byteorder == "little" else [np.frombuffer(b, ">u4").astype("<u4").tobytes() for b in out]
+        out: list = [None] * len(chunks)
+        other = []
+        for i, chunk in enumerate(chunks):
+            bare = chunk[1:] if chunk[:1] == " " else chunk
+            if bare.isalpha() and bare.isascii():
+                # One pretoken of ASCII letters: straight to the library's BPE model. Normaliser and
+                # pre-tokenizer only lower it, or write its blank as the byte alphabet does.
+                text = bare.lower() if drops_white_space else bare if bare is chunk else "\u0120" + bare
+                out[i] = packed([t.id for t in word(text)])
+            else:
+                other.append(i)
+        for at in range(0, len(other), 4096):
+            part = other[at:at + 4096]
+            found = tokenizer.encode_batch_fast([chunks[i] for i in part], add_special_tokens=False)
+            for i, e in zip(part, found):
+                out[i] = packed(e.ids)
+        return out
 
     return ChunkCodes(encode)
 
@@ -37,6 +55,6 @@ def ids_bytes(texts: list[str], path: str, drops_white_space: bool) -> list[byte
     its normaliser acts within words, so texts are cut at every blank and line
     feed; else only where ``chunks`` proves that no token crosses.
     """
-    codes = _codes(path)
+    codes = _codes(path, drops_white_space)
     parts = [words(t) for t in texts] if drops_white_space else codes.cut_all(texts)
     return codes.codes(parts)
