@@ -39,7 +39,7 @@ class ChunkCodes:
     def codes(self, parts: list[list[str]]) -> list[bytes]:
         """The joined codes of each list of chunks."""
         wanted = set().union(*parts)
-        missing = list(wanted - self.cache.keys())
+        missing = list(wanted.difference(self.cache))
         known = self.cache
         if missing:
             fresh = dict(zip(missing, self.encode(missing)))
@@ -52,7 +52,7 @@ class ChunkCodes:
                 elif len(known) < self.limit and len(chunk) <= 48:
                     known[chunk] = code
             served = known
-            known = {**{chunk: known[chunk] for chunk in wanted & known.keys()}, **fresh}
+            known = {**{chunk: known[chunk] for chunk in wanted if chunk in known}, **fresh}
             if anew:
                 served.clear()
                 self.seen = bytearray(_SEEN)
@@ -71,7 +71,7 @@ class ChunkCodes:
     def cut_all(self, texts: list[str]) -> list[list[str]]:
         """``cut`` for each text; a text whose plain cut holds other white space is cut by the pattern."""
         parts = [self.cut(t) for t in texts]
-        fresh = set().union(*parts) - self.cache.keys() - {"\n"}
+        fresh = set().union(*parts).difference(self.cache, ("\n",))
         odd = {c for c in _with_white_space(fresh) if c not in self.odd}
         if odd:
             if len(self.odd) > self.limit:  # both anew: a cached odd chunk must be known as odd

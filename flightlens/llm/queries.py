@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from flightlens.llm import (
-    byte_bpe, embedding_dedup, html_text, language_id, line_dedup, packing, quality_rules, simhash, token_codes)
+    byte_bpe, embedding_dedup, html_text, language_id, line_dedup, lm_scoring, packing, quality_rules, simhash,
+    token_codes)
 from flightlens.llm.common import read_table
 
 
@@ -16,6 +17,10 @@ from flightlens.llm.common import read_table
 DOCUMENT_END = 2
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.report(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.round_trip(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), DOCUMENT_END)
@@ -58,6 +63,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_token_codes": op2_token_codes,
         "op3_html_text": op3_html_text,
         "op4_embedding_dedup": op4_embedding_dedup,
