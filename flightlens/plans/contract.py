@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,11 +139,20 @@ def group_mean_scored(spark, sf_dir, scheduled: DataFrame | None = None) -> Data
     return features.scoring_frame(scheduled).join(means, on="airline_name", how="inner")
 
 
+ESTIMATES = ["departure_estimated_time", "arrival_estimated_time"]
+
+
+def _fresh_store(spark) -> store.TableStore:
+    return store.TableStore(spark, f"flightlens_{uuid.uuid4().hex[:12]}", scratch_location(spark, "store"))
+
+
 def merged_schedule(spark, sf_dir) -> DataFrame:
-    """Today's table after the estimates were merged into it (K6 as a DataFrame)."""
-    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir))
-    return store.merge_matched(testbed.scheduled_flights(spark, sf_dir), estimates, "id",
-                               ["departure_estimated_time", "arrival_estimated_time"])
+    """Today's table after ``TableStore.merge`` wrote the estimates into it (K6 on a catalog table)."""
+    tables = _fresh_store(spark)
+    tables.append(testbed.scheduled_flights(spark, sf_dir), "scheduled_flights", SCHEDULED_FLIGHTS)
+    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir, tables.read("scheduled_flights")))
+    tables.merge(estimates.select("id", *ESTIMATES), "scheduled_flights", "id", ESTIMATES)
+    return tables.read("scheduled_flights")
 
 
 @query("estimated_times")
@@ -179,21 +189,8 @@ VERIFY_ROWS = 10
 
 @query("verify_sample")
 def verify_sample(spark, sf_dir):
-    """First ten merged rows by id.
-
-    Only the first ten scheduled rows are merged (``store.merged_first_rows``):
-    the MERGE keeps every row and its id, so the result is the same, and no
-    step joins the whole table to show ten rows. A row's estimate depends on
-    that row alone (its features and the fitted predictor), so only those ten
-    rows are scored.
-    """
-    first = (testbed.scheduled_flights(spark, sf_dir).orderBy("id").limit(VERIFY_ROWS)
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    estimates = predict.prediction_table(group_mean_scored(spark, sf_dir, scheduled=first))
-    merged = store.merged_first_rows(first, estimates, "id",
-                                     ["departure_estimated_time", "arrival_estimated_time"],
-                                     VERIFY_ROWS)
-    return dash.verify_sample(merged, VERIFY_ROWS)
+    """First ten rows by id of the table after the MERGE, to show that it worked."""
+    return dash.verify_sample(merged_schedule(spark, sf_dir), VERIFY_ROWS)
 
 
 @query("regression_metrics")
@@ -273,7 +270,6 @@ def _category_input(spark, sf_dir) -> DataFrame:
 def category_index(spark, sf_dir):
     """Each category's index (frequency descending, then value ascending)."""
     training = _category_input(spark, sf_dir)
-    model.check_vocabulary(training)
     indexer = model.feature_pipeline().getStages()[0].fit(training)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"),
@@ -287,20 +283,21 @@ def category_index(spark, sf_dir):
 def one_hot_slots(spark, sf_dir):
     """M2: active one-hot slot per category of each scheduled flight; NULL when unseen.
 
-    Fits indexers and encoder on the landed flights. The encoder keeps one slot
-    per seen category and drops the last one, which is the "unseen" index, so
-    the active slot is the category index when it is below the encoder's size.
+    Fits indexers and encoder on the landed flights and reads the slot from the
+    vector that the encoder makes of each scheduled flight. The encoder drops
+    its last slot, which is the "unseen" index.
     """
     training = _category_input(spark, sf_dir)
-    model.check_vocabulary(training)
     fitted = model.feature_pipeline(encoding=model.ONEHOT).fit(
         training.withColumns({c: F.lit(0) for c in features.NUMERIC_COLUMNS}))
-    # categorySizes counts the "unseen" index too; dropLast removes that slot.
-    slots = {c: n - 1 for c, n in zip(features.CATEGORICAL_COLUMNS, fitted.stages[1].categorySizes)}
-    indexed = fitted.stages[0].transform(features.scoring_frame(testbed.scheduled_flights(spark, sf_dir)))
-    return indexed.select("id", *[
-        F.when(F.col(model.index_col(c)) < slots[c], F.col(model.index_col(c)).cast("int"))
-         .alias(f"{c}_slot") for c in features.CATEGORICAL_COLUMNS])
+    encoded = fitted.stages[1].transform(fitted.stages[0].transform(
+        features.scoring_frame(testbed.scheduled_flights(spark, sf_dir))))
+
+    def slot(c):
+        # A sparse vector with one active index, or none where the category was not seen.
+        return F.get(F.unwrap_udt(model.encoded_col(c))["indices"], 0).cast("int").alias(f"{c}_slot")
+
+    return encoded.select("id", *[slot(c) for c in features.CATEGORICAL_COLUMNS])
 
 
 def _gbt_predictions(spark, sf_dir, target):
@@ -341,10 +338,7 @@ def reset_then_load(spark, sf_dir):
     Writes real catalog tables into a fresh database under the session's
     checkpoint storage, then returns the table as read back.
     """
-    import uuid
-
-    store_ = store.TableStore(spark, f"flightlens_{uuid.uuid4().hex[:12]}",
-                              scratch_location(spark, "store"))
+    store_ = _fresh_store(spark)
     scheduled = testbed.scheduled_flights(spark, sf_dir)
     first = scheduled.where(F.col("flight_date") < RESET_SPLIT_DATE)
     second = scheduled.where(F.col("flight_date") >= RESET_SPLIT_DATE)

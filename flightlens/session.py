@@ -13,8 +13,8 @@ Every job in the package runs on a session that has these settings:
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -59,12 +59,9 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input bytes per shuffle partition when a job sizes its shuffles, and the
-# most partitions it will ask for (100 TB / 128 MB is about 800k; past the cap
-# partitions grow instead, and spill).
+# Input bytes per shuffle partition when a job sizes its shuffles (100 TB / 128 MB is about 800k partitions).
 SHUFFLE_TARGET_BYTES_CONF = "flightlens.shuffle.targetBytes"
 SHUFFLE_TARGET_BYTES_DEFAULT = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 # Plan leaves whose size statistics are the bytes of the stored files.
@@ -72,6 +69,10 @@ _STORED_RELATIONS = {"LogicalRelation", "HiveTableRelation", "DataSourceV2Relati
                      "DataSourceV2ScanRelation"}
 
 
+# Spark's stand-in for the size of a relation without statistics (spark.sql.defaultSizeInBytes).
+_UNKNOWN_SIZE = 2**63 - 1
+
+
 def input_bytes(df) -> int:
     """Bytes of the stored relations ``df`` reads, from the optimizer's statistics.
 
@@ -89,7 +90,8 @@ def input_bytes(df) -> int:
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         if leaf.nodeName() in _STORED_RELATIONS:
-            total += int(str(leaf.stats().sizeInBytes()))
+            size = int(str(leaf.stats().sizeInBytes()))
+            total += size if size < _UNKNOWN_SIZE else 0
     return total
 
 
@@ -103,7 +105,7 @@ def size_shuffle_partitions(spark: SparkSession, *frames) -> int:
     an aggregation, so the count must be large enough up front.
     """
     target = int(spark.conf.get(SHUFFLE_TARGET_BYTES_CONF, str(SHUFFLE_TARGET_BYTES_DEFAULT)))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-sum(input_bytes(f) for f in frames) // target))
+    wanted = -(-sum(input_bytes(f) for f in frames) // target)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
@@ -155,13 +157,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_location(spark: SparkSession, name: str) -> str:
-    """A fresh folder for written tables, under the shared checkpoint storage."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh folder for written tables, under the shared checkpoint storage.
+
+    Only a name is made here: the folder is created by whatever writes to it,
+    through the file system its scheme names.
+    """
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

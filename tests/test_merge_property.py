@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from flightlens.operators.dims import airport_dimension
 from flightlens.operators.enrich import with_countries
-from flightlens.operators.store import merged_first_rows, merge_matched
+from flightlens.operators.store import merge_matched
 
 SETTINGS = settings(max_examples=10, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -27,18 +27,6 @@ def test_merge_keeps_unmatched_rows_and_takes_source_values(spark, target_keys,
     assert merged == expected  # no row added or dropped; NULL source values overwrite
 
 
-@SETTINGS
-@given(target_keys=keys, source_keys=keys, n=st.integers(1, 12), data=st.data())
-def test_first_rows_of_merge_equal_merge_of_first_rows(spark, target_keys, source_keys, n, data):
-    target = spark.createDataFrame([(f"k{k:03d}", data.draw(values)) for k in target_keys],
-                                   "id string, v int")
-    source = spark.createDataFrame([(f"k{k:03d}", data.draw(values)) for k in source_keys],
-                                   "id string, v int")
-    full = merge_matched(target, source, "id", ["v"]).orderBy("id").limit(n).collect()
-    sampled = merged_first_rows(target, source, "id", ["v"], n).orderBy("id").collect()
-    assert [tuple(r) for r in sampled] == [tuple(r) for r in full]
-
-
 countries = st.sampled_from(["", None, "A", "B", "C"])
 
 
