@@ -8,6 +8,7 @@ import xxhash
 
 import corpus_pipeline
 from flightlens.llm import embedding_dedup, line_dedup, simhash
+from llm_fixtures import docs  # noqa: F401
 
 
 def roots(ids, linked):

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from flightlens.llm import html_text, language_id, lm_scoring, quality_rules
+from llm_fixtures import docs, table_dir  # noqa: F401
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header>Site</header><nav><ul><li><a href="/x">Menu</a></li></ul></nav><!-- c --><div class="cookie-notice">Accept</div>

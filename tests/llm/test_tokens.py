@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 from flightlens.llm import byte_bpe, packing, token_codes
 from flightlens.llm.common import shared_folder
 from flightlens.llm.library_tokens import ids_bytes
+from llm_fixtures import docs  # noqa: F401
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 BYTES = P.path("byte_bpe_50k.json")
