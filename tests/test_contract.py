@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from flightlens.plans import contract, oracle
 from oracle_harness import compare, duckdb_connection
 
 from conftest import SF_SMALL
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = oracle.oracle_sql()
+QUERIES = contract.registry()
 MODEL_FITS = {"gbt_departure", "gbt_arrival", "evaluate_models"}
 
 
@@ -20,6 +21,7 @@ def con():
 def test_every_query_has_sql_except_model_fits():
     assert set(QUERIES) - set(SQL) == MODEL_FITS
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
