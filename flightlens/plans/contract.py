@@ -7,9 +7,9 @@ named exactly as in the matching SQL of ``flightlens.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import enrich, features, model, predict, store
 from ..operators.dims import broadcast_if_small
 from ..plans import dashboard as dash
+from ..plans import jobs
 from ..schemas import SCHEDULED_FLIGHTS
 from ..session import apply_defaults, scratch_location
 from ..sources import landing, testbed
@@ -266,6 +267,20 @@ def _category_input(spark, sf_dir) -> DataFrame:
             .persist(StorageLevel.MEMORY_AND_DISK))
 
 
+@query("landed_load")
+def landed_load(spark, sf_dir):
+    """Page files landed, both load jobs run, the flights table read back.
+
+    The pages are written below the checkpoint storage. The id (a hash of the
+    record's place in its pages) is left out: SQL does not state it.
+    """
+    root, tables = scratch_location(spark, "landing"), _fresh_store(spark)
+    testbed.land_hub_pages(spark, sf_dir, root, HUB_COUNTRY)
+    jobs.load_airports(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
+    jobs.load_flights(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
+    return tables.read("flights").drop("id")
+
+
 @query("category_index")
 def category_index(spark, sf_dir):
     """Each category's index (frequency descending, then value ascending)."""

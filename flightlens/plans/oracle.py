@@ -124,6 +124,16 @@ _QUERIES = {
         UNION ALL
         SELECT 'dep' AS request_id, id, flight_date, airline_name, departure_country, arrival_country
         FROM landed WHERE departure_country = '{HUB_COUNTRY}'""",
+    "landed_load": f"""
+        SELECT flight_date, airline_name, departure_airport, departure_country, departure_timezone,
+               departure_scheduled_time, departure_actual_time, arrival_airport, arrival_country,
+               arrival_timezone, arrival_scheduled_time, arrival_actual_time, delay_time
+        FROM (SELECT *, 'arr-' || substr(flight_date, 1, 4) AS request_id FROM enriched
+              WHERE status = 'F' AND arrival_country = '{HUB_COUNTRY}'
+              UNION ALL
+              SELECT *, 'dep-' || substr(flight_date, 1, 4) FROM enriched
+              WHERE status = 'F' AND departure_country = '{HUB_COUNTRY}')
+        WHERE request_id <> 'dep-1993' AND l_linenumber NOT IN (5, 6)""",
     "training_labels": """
         SELECT id, departure_delay_minutes, arrival_delay_minutes, delay_time FROM training""",
     "calendar_features": """

@@ -17,7 +17,7 @@ Nothing is sampled or capped: every line of ``lineitem`` becomes a flight.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -232,3 +232,58 @@ def api_pages(spark: SparkSession, sf_dir: str, status: str = LANDED) -> DataFra
         body.alias("value"), F.lit("flights").alias("dataset"), F.lit(PAGE_BATCH_ID).alias("batch_id"),
         F.col("l_orderkey").cast("string").alias("request_id"),
         F.lit(PAGE_LIMIT).alias("limit"), F.col("offset")).to(PAGE_FILES)
+
+
+# Fixed values of the landed-load fixture (must equal the oracle SQL's): arrivals and departures of one
+# country are requested per year, in pages of 100 flights (900 airports). Records of one line number have an
+# empty departure code, of another a null airline; the first page of one request never lands.
+LOAD_BATCH_ID = "landed-load"
+FLIGHT_PAGE_LIMIT = 100
+AIRPORT_PAGE_LIMIT = 900
+EMPTY_CODE_LINE = 5
+NULL_AIRLINE_LINE = 6
+LOST_REQUEST = "dep-1993"
+
+
+def _write_pages(records: DataFrame, dataset: str, limit: int, root: str) -> None:
+    """Land ``records`` (request_id, sort, json) as page files, ``limit`` records each, one file per page."""
+    order = Window.partitionBy("request_id").orderBy("sort")
+    numbered = records.withColumn("place", F.row_number().over(order) - 1)
+    totals = records.groupBy("request_id").agg(F.count(F.lit(1)).alias("total"))
+    pages = (numbered.groupBy("request_id", (F.floor(F.col("place") / limit) * limit).cast("int").alias("offset"))
+             .agg(F.sort_array(F.collect_list(F.struct("place", "json"))).alias("items"))
+             .join(totals, "request_id")
+             .where((F.col("request_id") != LOST_REQUEST) | (F.col("offset") > 0)))
+    body = F.concat(F.lit('{"pagination":{"total":'), F.col("total").cast("string"), F.lit('},"data":['),
+                    F.array_join(F.transform("items", lambda x: x["json"]), ","), F.lit("]}"))
+    keys = {"dataset": F.lit(dataset), "batch_id": F.lit(LOAD_BATCH_ID), "limit": F.lit(limit)}
+    (pages.select(body.alias("value"), "request_id", "offset").withColumns(keys)
+     .repartition("request_id", "offset").write.mode("append")
+     .partitionBy("dataset", "batch_id", "request_id", "limit", "offset").text(root))
+
+
+def land_hub_pages(spark: SparkSession, sf_dir: str, root: str, hub_country: str) -> None:
+    """Page files of the airports and of the hub country's landed flights, as the API would send them."""
+    airports = airports_raw(spark, sf_dir).select(
+        F.substring("id", 1, 1).alias("request_id"), F.col("id").alias("sort"),
+        F.to_json(F.struct(F.col("id").alias("icao_code"), "airport_name", "country_name")).alias("json"))
+    _write_pages(airports, "airports", AIRPORT_PAGE_LIMIT, root)
+    flights = enriched_flights(spark, sf_dir).where(F.col("status") == LANDED)
+    year = F.substring("flight_date", 1, 4)
+    tags = F.array_compact(F.array(
+        F.when(F.col("arrival_country") == hub_country, F.concat(F.lit("arr-"), year)),
+        F.when(F.col("departure_country") == hub_country, F.concat(F.lit("dep-"), year))))
+    departure = F.struct(
+        F.when(F.col("l_linenumber") == EMPTY_CODE_LINE, F.lit("")).otherwise(F.col("dep_icao")).alias("icao"),
+        F.col("departure_airport").alias("airport"), F.col("departure_timezone").alias("timezone"),
+        F.col("departure_scheduled_time").alias("scheduled"), F.col("departure_actual_time").alias("actual"),
+        F.col("delay").alias("delay"))
+    arrival = F.struct(
+        F.col("arr_icao").alias("icao"), F.col("arrival_airport").alias("airport"),
+        F.col("arrival_timezone").alias("timezone"), F.col("arrival_scheduled_time").alias("scheduled"),
+        F.col("arrival_actual_time").alias("actual"))
+    airline = F.when(F.col("l_linenumber") != NULL_AIRLINE_LINE, F.struct(F.col("airline_name").alias("name")))
+    record = F.to_json(F.struct(F.col("flight_date"), airline.alias("airline"), departure.alias("departure"),
+                                arrival.alias("arrival")), {"ignoreNullFields": "false"})
+    requests = flights.select(F.explode(tags).alias("request_id"), F.col("id").alias("sort"), record.alias("json"))
+    _write_pages(requests, "flights", FLIGHT_PAGE_LIMIT, root)
