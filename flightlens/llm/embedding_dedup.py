@@ -144,17 +144,27 @@ def _filed(classes: DataFrame, k: int, kind: str) -> DataFrame:
                                    f"vec {kind}, codes binary")
 
 
-def _counts_here(a_codes, b_codes, a_ids, b_ids, tab, bucket):
-    """Whether this bucket is the first in which the pairs (row by row) meet."""
-    own_a, own_b = a_codes[:, :, :1], b_codes[:, :, :1]
-    b_probes, a_probes = (b_codes == own_a).any(2), (a_codes == own_b).any(2)  # (pairs, tables)
-    met = b_probes | a_probes
-    first = met.argmax(1) == tab
-    low = a_ids < b_ids  # of the two possible buckets of a table, the one of the smaller id goes first
-    low_own = np.where(low, a_codes[:, tab, 0], b_codes[:, tab, 0])
-    high_own = np.where(low, b_codes[:, tab, 0], a_codes[:, tab, 0])
-    at_low = np.where(low, b_probes[:, tab], a_probes[:, tab])
-    return first & (np.where(at_low, low_own, high_own) == bucket)
+def _counts_here(codes_, ids, a, b, tab, bucket):
+    """Which of the pairs (rows ``a``, ``b``) meet in this bucket first.
+
+    Earlier tables are looked at one after the other and only for the pairs
+    left, so pairs that meet early cost little in later tables.
+    """
+    left = np.arange(len(a))
+    for t in range(tab):
+        x, y = codes_[a[left], t], codes_[b[left], t]
+        met = (y == x[:, :1]).any(1) | (x == y[:, :1]).any(1)
+        left = left[~met]
+        if not len(left):
+            return left
+    i, j = a[left], b[left]
+    # Of the two possible buckets of a table, the one of the smaller id goes first.
+    low, high = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+    own, other = codes_[low, tab], codes_[high, tab]
+    at_low = (other == own[:, :1]).any(1)
+    at_high = (own == other[:, :1]).any(1)
+    place = np.where(at_low, own[:, 0], other[:, 0])
+    return left[(at_low | at_high) & (place == bucket)]
 
 
 def unit_links(ids, sizes, unit, all_codes, own, tile, tab, bucket, pair, threshold):
@@ -177,22 +187,24 @@ def unit_links(ids, sizes, unit, all_codes, own, tile, tab, bucket, pair, thresh
     right = np.flatnonzero(tile == 1) if pair else np.arange(n)
     for at in range(0, len(left), 512):
         part = left[at:at + 512]
-        i, j = np.nonzero(unit[part] @ unit[right].T >= threshold - 1e-9)
+        cosine = unit[part] @ unit[right].T
+        i, j = np.nonzero(cosine >= threshold - 1e-9)
+        near = cosine[i, j]
         i, j = part[i], right[j]
+        keep = (own[i] | own[j]) & (ids[i] != ids[j])
         if not pair:
-            keep = i < j
-            i, j = i[keep], j[keep]
-        for s in range(0, len(i), 1 << 17):
-            a, b = i[s:s + (1 << 17)], j[s:s + (1 << 17)]
-            exact = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
-            good = exact & (own[a] | own[b]) & (ids[a] != ids[b])
-            a, b = a[good], b[good]
+            keep &= i < j
+        i, j, near = i[keep], j[keep], near[keep]
+        edge = np.flatnonzero(near < threshold + 1e-9)  # the matrix product's last digits do not decide
+        if len(edge):
+            short = np.einsum("ij,ij->i", unit[i[edge]], unit[j[edge]]) < threshold
+            i, j = np.delete(i, edge[short]), np.delete(j, edge[short])
+        for s in range(0, len(i), 1 << 18):
+            first = _counts_here(all_codes, ids, i[s:s + (1 << 18)], j[s:s + (1 << 18)], tab, bucket) + s
+            a, b = i[first], j[first]
             if not len(a):
                 continue
-            first = _counts_here(all_codes[a], all_codes[b], ids[a], ids[b], tab, bucket)
-            np.add.at(sums, a[first], sizes[b[first]])
-            np.add.at(sums, b[first], sizes[a[first]])
-            a, b = a[first], b[first]
+            sums += np.bincount(a, sizes[b], n).astype(np.int64) + np.bincount(b, sizes[a], n).astype(np.int64)
             while len(a):
                 ra, rb = roots(a), roots(b)
                 cross = ra != rb
