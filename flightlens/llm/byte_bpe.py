@@ -204,7 +204,7 @@ def _codec(path: str, pattern: str) -> tuple[ByteBpe, ChunkCodes]:
 def encode_texts(texts: list[str], path: str, pattern: str) -> list[np.ndarray]:
     """Ids of each text."""
     _, codes = _codec(path, pattern)
-    return [np.frombuffer(ids, "<i4") for ids in codes.codes(codes.cut_all(texts))]
+    return [np.frombuffer(ids, "<i4") for ids in codes.codes(texts)]
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",

@@ -30,16 +30,25 @@ class ChunkCodes:
     it starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000):
         self.encode, self.limit = encode, limit
         self.cache: dict[str, bytes] = {}
         self.seen = bytearray(_SEEN)
         self.odd: set[str] = {"", " "}
 
-    def codes(self, parts: list[list[str]]) -> list[bytes]:
-        """The joined codes of each list of chunks."""
+    def codes(self, texts: list[str], cut: Callable[[str], list[str]] | None = None) -> list[bytes]:
+        """The joined codes of each text's chunks.
+
+        ``cut`` gives a text's chunks where any cut at white space is right;
+        by default texts are cut as this module's docstring says.
+        """
+        parts = [(cut or self.cut)(t) for t in texts]
         wanted = set().union(*parts)
         missing = list(wanted.difference(self.cache))
+        if cut is None and (odd := self._odd(missing)):
+            parts = [p if odd.isdisjoint(p) else _pieces(t) for t, p in zip(texts, parts)]
+            wanted = set().union(*parts)
+            missing = list(wanted.difference(self.cache))
         known = self.cache
         if missing:
             fresh = dict(zip(missing, self.encode(missing)))
@@ -59,36 +68,37 @@ class ChunkCodes:
         code = known.__getitem__
         return [b"".join(map(code, part)) for part in parts]
 
-    def cut(self, text: str) -> list[str]:
-        """Chunks that keep their leading blank; line feeds stand alone."""
-        if "\0" in text:
-            return _CUT.split(text)
-        parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        if not self.odd.isdisjoint(parts):
-            return [c for c in _CUT.split(text) if c]
-        return parts
-
-    def cut_all(self, texts: list[str]) -> list[list[str]]:
-        """``cut`` for each text; a text whose plain cut holds other white space is cut by the pattern."""
-        parts = [self.cut(t) for t in texts]
-        fresh = set().union(*parts).difference(self.cache, ("\n",))
-        odd = {c for c in _with_white_space(fresh) if c not in self.odd}
+    def _odd(self, missing: list[str]) -> set[str]:
+        """Chunks of plain cuts that hold white space other than a leading blank or a single line feed.
+
+        A text whose plain cut holds one is cut by the pattern, now and later.
+        """
+        odd = set(_with_white_space(missing)) - self.odd
         if odd:
             if len(self.odd) > self.limit:  # both anew: a cached odd chunk must be known as odd
                 self.odd = {"", " "}
                 self.cache.clear()
-            parts = [p if odd.isdisjoint(p) else [c for c in _CUT.split(t) if c]
-                     for t, p in zip(texts, parts)]
             self.odd |= {c for c in odd if len(c) <= 48}
-        return parts
+        return odd
+
+    def cut(self, text: str) -> list[str]:
+        """Chunks that keep their leading blank; line feeds stand alone."""
+        if "\0" in text:
+            return _pieces(text)
+        parts = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        return parts if self.odd.isdisjoint(parts) else _pieces(text)
+
+
+def _pieces(text: str) -> list[str]:
+    return [c for c in _CUT.split(text) if c]
 
 
-def _with_white_space(chunks: set[str]) -> list[str]:
+def _with_white_space(chunks: list[str]) -> list[str]:
     """Chunks with white space other than a leading blank, looked for in one text of all of them."""
-    joined = "\0".join(c[1:] if c[:1] == " " else c for c in chunks)
+    joined = "\0".join([c[1:] if c[:1] == " " else c for c in chunks if c != "\n"])
     if not _ODD.search(joined):
         return []
-    return [c for c in chunks if _ODD.search(c, 1 if c[:1] == " " else 0)]
+    return [c for c in chunks if c != "\n" and _ODD.search(c, 1 if c[:1] == " " else 0)]
 
 
 def words(text: str) -> list[str]:

@@ -55,6 +55,4 @@ def ids_bytes(texts: list[str], path: str, drops_white_space: bool) -> list[byte
     its normaliser acts within words, so texts are cut at every blank and line
     feed; else only where ``chunks`` proves that no token crosses.
     """
-    codes = _codes(path, drops_white_space)
-    parts = [words(t) for t in texts] if drops_white_space else codes.cut_all(texts)
-    return codes.codes(parts)
+    return _codes(path, drops_white_space).codes(texts, words if drops_white_space else None)
