@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 import corpus_pipeline
@@ -107,6 +108,26 @@ def test_line_dedup_equals_brute_force(docs):
     assert line_dedup.report(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("small,large", [(8, 512), (2, 4)])
+def test_line_dedup_with_salted_words(docs, monkeypatch, small, large):
+    """Near lines whose common words are all salted meet, whatever the size of the groups in a salt."""
+    monkeypatch.setattr(line_dedup, "ROWS_PER_SALT", 6)
+    monkeypatch.setattr(line_dedup, "SMALL_GROUP", small)
+    monkeypatch.setattr(line_dedup, "LARGE_GROUP", large)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    seeds = [rng.sample(words, rng.randint(5, 14)) for _ in range(30)]
+
+    def line():
+        out = list(rng.choice(seeds))
+        out[rng.randrange(len(out))] = rng.choice(words)
+        return " ".join(out)
+
+    rows = [(i, "\n".join(line() for _ in range(3))) for i in range(40)]
+    got = {(r["doc"], r["line"]) for r in line_dedup.removed_lines(docs(rows)).collect()}
+    assert got == plain_removed(rows)
+
+
 def test_embedding_recall_and_links(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 64)  # several tiles per bucket
     rng = np.random.default_rng(5)
