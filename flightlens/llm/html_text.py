@@ -5,13 +5,15 @@ sliding window of lines make the distribution; where a window rises to the
 surge length, text begins, where it falls to nothing, text ends, and what
 stands between such points is kept.
 
-Text of menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments, known by element or by words of their class, id or role, weighs
-nothing, so the distribution is flat there. Where a page has ``article`` (or
-``main``), only its lines weigh, and any visible text is a surge; on other
-pages link text weighs nothing either and a window must reach
-``SURGE_CHARS`` (or the page's fullest window, if that is less), which leaves
-stray labels out; boilerplate ends a region there.
+A line weighs its characters outside links. Text of menus, headers, footers,
+sidebars, notices, adverts, forms and reader comments, known by element or by
+words of their class, id or role, weighs nothing, so the distribution is flat
+there. Inside ``article`` or ``main`` (unless its class or a container is
+boilerplate) a character weighs ``MAIN_WEIGHT`` times as much; link text weighs
+there too if it is all there is. A window must reach ``SURGE_CHARS`` (or the
+page's fullest window, if that is less) on every page, which leaves stray
+labels out. Windows and regions end where ``article`` or ``main`` begins or
+ends. Boilerplate ends a region outside of them; inside, it is passed over.
 
 Defined results: a null, empty or text-free page gives an empty string and 0;
 repeated rows each give their row; an empty table gives no rows; further input
@@ -32,6 +34,8 @@ from flightlens.llm.common import map_arrow, slices
 
 WINDOW_LINES = 3
 SURGE_CHARS = 86
+#: Weight of a character inside article or main.
+MAIN_WEIGHT = 8
 
 # Element names of the HTML standard by their role here.
 _BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
@@ -44,6 +48,9 @@ _BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising adb
     promotion banner cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login
     nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside rail widget widgets footer masthead share
     sharing social comment comments commentlist disqus replies respond related recommended""".split())
+#: Words of a class name that make it a setting of the page (comments-open, no-sidebar), by which an article stays one.
+_SETTINGS = frozenset("has no with without open opened closed enabled disabled none on off left right".split())
+_MAIN = ("article", "main")
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog".split())
 
 _PIECE = re.compile(
@@ -57,17 +64,20 @@ _WORD = re.compile(r"[a-z]+")
 def _boiler(name: str, attributes: str, in_main: bool) -> bool:
     if name in _BOILER or (name == "header" and not in_main):
         return True
-    if not attributes or name in ("article", "main", "body", "html"):
+    if not attributes or name in ("body", "html"):
         return False
     for key, *values in _NAMED.findall(attributes):
-        words = set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()))
-        if words & (_BOILER_ROLES if key.lower() == "role" else _BOILER_WORDS):
-            return True
+        names = re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values)).lower()
+        for words in map(set, map(_WORD.findall, names.split() if name in _MAIN else [names])):
+            if name in _MAIN and words & _SETTINGS:
+                continue
+            if words & (_BOILER_ROLES if key.lower() == "role" else _BOILER_WORDS):
+                return True
     return False
 
 
-def page_lines(page: str) -> tuple[list[tuple[str, int]], bool]:
-    """Blocks of a page in order as (text, weight), and whether it has an article.
+def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
+    """Blocks of a page in order as (text, weight, boilerplate, in article or main).
 
     The weight is what the block counts in the distribution: 0 for boilerplate.
     Unclosed elements end with their parent, as browsers do it.
@@ -75,8 +85,8 @@ def page_lines(page: str) -> tuple[list[tuple[str, int]], bool]:
     lines: list[tuple[str, bool, int, bool]] = []  # text, boilerplate, characters in links, in main
     text: list[str] = []
     links = 0
-    stack: list[tuple[str, bool]] = []  # open elements other than inline ones; boilerplate or not
-    boiler, main, in_link, has_main = 0, 0, 0, False
+    stack: list[tuple[str, bool, bool]] = []  # open elements other than inline ones; boilerplate or not, main or not
+    boiler, main, in_link = 0, 0, 0
 
     def end_block():
         nonlocal text, links
@@ -95,12 +105,12 @@ def page_lines(page: str) -> tuple[list[tuple[str, int]], bool]:
 
     def leave(name: str):
         nonlocal boiler, main
-        if not any(open_ == name for open_, _ in stack):
+        if not any(open_ == name for open_, *_ in stack):
             return
         while stack:
-            open_, is_boiler = stack.pop()
+            open_, is_boiler, is_main = stack.pop()
             boiler -= is_boiler
-            main -= open_ in ("article", "main")
+            main -= is_main
             if open_ == name:
                 return
 
@@ -118,7 +128,7 @@ def page_lines(page: str) -> tuple[list[tuple[str, int]], bool]:
         if piece[1]:
             if name == "a":
                 in_link = 0
-            if name in _BLOCKS or any(open_ == name for open_, _ in stack):
+            if name in _BLOCKS or any(open_ == name for open_, *_ in stack):
                 end_block()
                 leave(name)
         elif name in _RAW:
@@ -141,33 +151,37 @@ def page_lines(page: str) -> tuple[list[tuple[str, int]], bool]:
                     leave(name)
                 elif stack and stack[-1][0] == "p":
                     leave("p")
-                stack.append((name, is_boiler))
                 boiler += is_boiler
-                if name in ("article", "main"):
-                    main += 1
-                    has_main = True
+                is_main = name in _MAIN and not boiler
+                stack.append((name, is_boiler, is_main))
+                main += is_main
     end_block()
-    return [(line, 0 if out or (has_main and not inside) else len(line) - (0 if has_main else min(linked, len(line))))
-            for line, out, linked, inside in lines], has_main
+    plain = any(inside and not out and linked < len(line) for line, out, linked, inside in lines)
+    return [(line, 0 if out else (MAIN_WEIGHT if inside else 1) * (len(line) - min(linked, len(line)) * (plain or not inside)),
+             out, inside) for line, out, linked, inside in lines]
 
 
 def main_text(page: str | None, window: int = WINDOW_LINES, surge_chars: int = SURGE_CHARS) -> str:
     """The text between surge and dive points, blocks joined by one line feed."""
-    lines, has_main = page_lines(page or "")
-    if not lines:
+    # Boilerplate inside article or main is passed over; each run of lines inside or outside of them has windows of its own.
+    lines = [(line, weight, inside) for line, weight, out, inside in page_lines(page or "") if not (out and inside)]
+    if not any(w for _, w, _ in lines):
         return ""
-    weight = np.array([w for _, w in lines])
+    weight = np.array([w for _, w, _ in lines])
+    side = np.array([inside for *_, inside in lines])
     total = np.concatenate(([0], np.cumsum(weight)))
-    ends = np.minimum(np.arange(len(lines)) + window, len(lines))
+    borders = np.append(np.flatnonzero(side[1:] != side[:-1]) + 1, len(lines))
+    at = np.arange(len(lines))
+    ends = np.minimum(at + window, borders[np.searchsorted(borders, at, "right")])
     block = total[ends] - total[:-1]  # text from a line over the window
-    threshold = 1 if has_main else min(surge_chars, block.max())
+    threshold = min(surge_chars, block.max())
     kept, inside = [], False
-    for i, (line, w) in enumerate(lines):
-        if not inside:
-            inside = w > 0 and block[i] >= threshold  # surge
-        elif block[i] == 0 or (w == 0 and not has_main):
+    for i, (line, w, main) in enumerate(lines):
+        if inside and (main != lines[i - 1][2] or block[i] == 0 or (w == 0 and not main)):
             inside = False  # dive
-        if inside and w > 0:
+        if not inside:
+            inside = (w > 0 or main) and block[i] >= threshold  # surge
+        if inside:
             kept.append(line)
     return "\n".join(kept)
 

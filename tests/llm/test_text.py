@@ -24,6 +24,21 @@ def test_page_without_article():
     assert html_text.main_text(page) == body.strip() + "\nShort."
 
 
+def test_text_beside_articles():
+    """The distribution decides on pages with an article too; an article that is a comment is none."""
+    body = "word " * 40
+    remark = "nice " * 30
+    page = f"<body><div><p>{body}</p><p>End.</p></div><article class='comment'><p>{remark}</p></article>"
+    assert html_text.main_text(page) == body.strip() + "\nEnd."
+    page = f"<body><p>{body}</p><section id=comments><article>{remark}</article></section><div>Top</div>"
+    assert html_text.main_text(page) == body.strip()
+    links = "".join(f"<p><a href=/{i}>Other page {i}</a></p>" for i in range(5))
+    page = f"<body><p>Tag line</p><article class='post comments-open'><h1><a href=/>Head</a></h1><p>{body}</p>{links}</article>"
+    assert html_text.main_text(page) == "Head\n" + body.strip()
+    assert html_text.main_text(f"<body><article>A lead sentence.</article><p>By</p><div>{body}</div>") == f"A lead sentence.\nBy\n{body.strip()}"
+    assert html_text.main_text("<p>Tag</p><article><p><a href=/>Only a link</a></p></article>") == "Only a link"
+
+
 @pytest.mark.parametrize("page,text", [(None, ""), ("", ""), ("<p>", ""), ("plain <b>text", "plain text"), ("<article></article>", ""),
                                        ("a < b", "a < b"), ("<script>never closed", "")])
 def test_odd_pages(page, text):
