@@ -147,32 +147,50 @@ def tile_links(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     return map_arrow(met.repartition(many, F.xxhash64("ones", "part", "ones_b", "part_b")), run, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (its bits as a long) and component_id (the component's smallest id) for each row."""
-    found = fingerprints(df, shingle, text_col, "fingerprint", (id_col,)).withColumnRenamed(id_col, "doc_id")
-    rows = stored(found, "simhash-rows")
-    classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-classes")
+def _grouped(df: DataFrame, shingle: int, radius: int, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """The ``keep`` columns (an id first), ``fingerprint``, ``top`` (the component's key) and ``component_id``."""
+    rows = stored(fingerprints(df, shingle, text_col, "fingerprint", keep), "simhash-rows")
+    classes = stored(rows.groupBy("fingerprint").agg(F.min(keep[0]).alias("first")), "simhash-classes")
     linked = components(tile_links(classes.select(F.col("fingerprint").alias("fp")), radius), "simhash-components")
     grouped = (classes.join(linked.toDF("fingerprint", "top"), "fingerprint", "left")
                .withColumn("top", F.coalesce("top", "fingerprint")))
     smallest = grouped.groupBy("top").agg(F.min("first").alias("component_id"))
-    named = grouped.join(smallest, "top").select("fingerprint", "component_id")
+    return rows.join(grouped.join(smallest, "top").select("fingerprint", "top", "component_id"), "fingerprint")
+
+
+def near_duplicates(df: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (its bits as a long) and component_id (the component's smallest id) for each row."""
+    found = _grouped(df, shingle, radius, text_col, (id_col,)).withColumnRenamed(id_col, "doc_id")
     own = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", own.alias("component_id"))
+    return found.select("doc_id", "fingerprint", own.alias("component_id"))
 
 
 def one_of_each(df: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """``df`` with the document of smallest id of every component; of rows that repeat an id one stays."""
-    found = stored(near_duplicates(df, shingle, radius, id_col, text_col).select("doc_id", "component_id"),
-                   "simhash-found")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone__")).distinct()
-    kept = df.join(gone, F.col(id_col) == F.col("gone__"), "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """``df`` with one row of every component: that of the smallest id, then of the smallest hash of its text.
+
+    A row is known by its id and the hash of its text, so rows that repeat an
+    id with other texts are judged each on their own. Of rows that repeat both,
+    the first in order of all columns (as JSON) stays.
+    """
+    key = F.xxhash64(F.col(text_col))
+    chosen = df.select(F.col(id_col).alias("id__"), key.alias("key__"), F.col(text_col).alias("text__"))
+    found = stored(_grouped(chosen.where("id__ is not null"), shingle, radius, "text__", ("id__", "key__"))
+                   .select("top", "id__", "key__"), "simhash-found")
+    first = found.groupBy("top").agg(F.min(F.struct("id__", "key__")).alias("first__"))
+    gone = (found.join(first, "top").where("id__ <> first__.id__ or key__ <> first__.key__")
+            .select(F.col("id__").alias("gone__"), F.col("key__").alias("gone_key__")).distinct())
+    kept = df.join(gone, (F.col(id_col) == F.col("gone__")) & (key == F.col("gone_key__")), "left_anti")
+    repeated = stored(found.groupBy("id__", "key__").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .select("id__", "key__"), "simhash-repeated")
     if repeated.isEmpty():
         return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(id_col).isNull()))
+    same = (F.col(id_col) == F.col("id__")) & (key == F.col("key__"))
+    row = F.struct(*(F.col(c) for c in df.columns))
+    single = (kept.join(repeated, same).groupBy("id__", "key__")
+              .agg(F.min_by(row, F.to_json(row)).alias("row__")).select("row__.*"))
+    return kept.join(repeated, same, "left_anti").union(single)
 
 
 def report(df: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:

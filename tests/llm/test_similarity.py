@@ -52,6 +52,15 @@ def test_simhash_equals_brute_force(docs, monkeypatch):
     assert simhash.report(docs([])).count() == 0
 
 
+def test_one_of_each_judges_rows_that_repeat_an_id_on_their_own(docs):
+    rng = random.Random(4)
+    copied, alone, other, twice = (" ".join(rng.choice("abcdefghijklmnop") * 3 for _ in range(60)) for _ in range(4))
+    rows = [(1, copied), (5, copied), (5, alone), (5, other), (7, twice), (7, twice), (8, alone), (None, copied)]
+    kept = simhash.one_of_each(docs(rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted(
+        [(0, copied), (1, copied), (5, alone), (5, other), (7, twice)])
+
+
 def test_spanning_links_keep_components():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 1 << 10, 300).astype(np.uint64)
