@@ -18,7 +18,7 @@ def _codes(path: str, drops_white_space: bool) -> ChunkCodes:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.encode_special_tokens = True  # no chunk holds one that is to be a token
 
     word = tokenizer.model.tokenize
     little = sys.byteorder == "little"
@@ -48,11 +48,32 @@ def _codes(path: str, drops_white_space: bool) -> ChunkCodes:
     return ChunkCodes(encode)
 
 
-def ids_bytes(texts: list[str], path: str, drops_white_space: bool) -> list[bytes]:
+@lru_cache(maxsize=4)
+def _with_specials(path: str):
+    """The library as it is, and the strings of its special tokens (they are matched in the raw text)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+
+def ids_bytes(texts: list[str], path: str, drops_white_space: bool, specials: bool = False) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers.
 
     ``drops_white_space``: the vocabulary's word pattern skips white space and
     its normaliser acts within words, so texts are cut at every blank and line
     feed; else only where ``chunks`` proves that no token crosses.
+
+    ``specials``: the string of a special token in a text is that token, as in
+    the library's ``encode(text, add_special_tokens=False)``; such texts are
+    encoded whole. Else it is ordinary text.
     """
-    return _codes(path, drops_white_space).codes(texts, words if drops_white_space else None)
+    out = {}
+    if specials:
+        tokenizer, strings = _with_specials(path)
+        out = {i: np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+               for i, t in enumerate(texts) if any(s in t for s in strings)}
+    plain = [t for i, t in enumerate(texts) if i not in out] if out else texts
+    codes = iter(_codes(path, drops_white_space).codes(plain, words if drops_white_space else None))
+    return [out[i] if i in out else next(codes) for i in range(len(texts))]

@@ -50,7 +50,7 @@ def pieces(df: DataFrame, tokenizer_path: str, end_id: int, capacity: int, id_co
         for batch in slices(batches, 2000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), ids_bytes(texts, tokenizer_path, True)):
+            for doc, ids in zip(batch.column(0).to_pylist(), ids_bytes(texts, tokenizer_path, True, specials=True)):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]

@@ -167,7 +167,7 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, folder: str, id_col:
         rows = []
         for batch in slices(batches, 2000):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, ids in zip(batch.column(0).to_pylist(), ids_bytes(texts, tokenizer_path, False)):
+            for doc, ids in zip(batch.column(0).to_pylist(), ids_bytes(texts, tokenizer_path, False, specials=True)):
                 size = len(ids) // 4 + 1
                 if docs and n + size > SEGMENT_TOKENS:
                     rows.append(close())

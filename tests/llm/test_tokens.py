@@ -58,6 +58,20 @@ def test_chunks_equal_whole_texts(texts, path, drops):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path,drops", [(BYTES, False), (WORDS, True)])
+def test_special_tokens_as_by_the_library(texts, path, drops):
+    tokenizer = Tokenizer.from_file(path)
+    texts = [*texts, "see <|endoftext|> here", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    for text, ids in zip(texts, ids_bytes(texts, path, drops, specials=True), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_code_files_hold_special_tokens(spark, docs):
+    folder = shared_folder(spark, "codes-test")
+    token_codes.write(docs([(1, "see <|endoftext|> here")]), BYTES, 2, folder)
+    assert token_codes.read(spark, folder, with_ids=True).first()["ids"] == [3826, 220, 50256, 994, 2]
+
+
 def test_encode_decode_rows(docs, tik):
     rows = [(1, "Hello  world\n\n the"), (2, None), (3, ""), (3, ""), (None, "x")]
     out = byte_bpe.encode_decode(docs(rows), RANKS, P.PATTERN).collect()
