@@ -117,12 +117,13 @@ def test_line_dedup_equals_brute_force(docs):
     assert line_dedup.report(docs([])).count() == 0
 
 
-@pytest.mark.parametrize("small,large", [(8, 512), (2, 4)])
-def test_line_dedup_with_salted_words(docs, monkeypatch, small, large):
-    """Near lines whose common words are all salted meet, whatever the size of the groups in a salt."""
-    monkeypatch.setattr(line_dedup, "ROWS_PER_SALT", 6)
-    monkeypatch.setattr(line_dedup, "SMALL_GROUP", small)
+@pytest.mark.parametrize("firsts,large,again", [(2, 512, 1 << 30), (1, 4, 1 << 30), (1, 3, 0)])
+def test_line_dedup_with_words_that_span_tasks(docs, monkeypatch, firsts, large, again):
+    """Near lines whose common words go over several tasks, batches or large groups meet."""
+    monkeypatch.setattr(line_dedup, "FIRSTS", firsts)
     monkeypatch.setattr(line_dedup, "LARGE_GROUP", large)
+    monkeypatch.setattr(line_dedup, "MEET_AGAIN", again)
+    monkeypatch.setattr(line_dedup, "_ROWS", 16)
     rng = random.Random(11)
     words = [f"w{i}" for i in range(40)]
     seeds = [rng.sample(words, rng.randint(5, 14)) for _ in range(30)]
