@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from flightlens.llm import (
-    byte_bpe, embedding_dedup, html_text, language_id, line_dedup, lm_scoring, packing, quality_rules, simhash,
-    token_codes)
+    byte_bpe, embedding_dedup, html_text, importance_resampling, language_id, line_dedup, lm_scoring, packing,
+    prefix_forest, quality_rules, simhash, spelling_variants, token_codes)
 from flightlens.llm.common import read_table
 
 
@@ -61,6 +61,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.search(read_table(spark, sf_dir, "embeddings"), query_every=50, k=5)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.resample(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), percent=5)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -73,6 +87,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_prefix_forest": op12_prefix_forest,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 
