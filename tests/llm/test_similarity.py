@@ -117,9 +117,11 @@ def test_line_dedup_equals_brute_force(docs):
     assert line_dedup.report(docs([])).count() == 0
 
 
-@pytest.mark.parametrize("firsts,large,again", [(2, 512, 1 << 30), (1, 4, 1 << 30), (1, 3, 0)])
-def test_line_dedup_with_words_that_span_tasks(docs, monkeypatch, firsts, large, again):
-    """Near lines whose common words go over several tasks, batches or large groups meet."""
+@pytest.mark.parametrize("firsts,large,again,salt", [
+    (2, 512, 1 << 30, 6), (1, 4, 1 << 30, 500_000), (1, 3, 0, 6), (4, 512, 0, 1)])
+def test_line_dedup_with_salted_words(docs, monkeypatch, firsts, large, again, salt):
+    """Near lines whose common words go over several salts, batches or large groups meet."""
+    monkeypatch.setattr(line_dedup, "ROWS_PER_SALT", salt)
     monkeypatch.setattr(line_dedup, "FIRSTS", firsts)
     monkeypatch.setattr(line_dedup, "LARGE_GROUP", large)
     monkeypatch.setattr(line_dedup, "MEET_AGAIN", again)
