@@ -25,17 +25,18 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import features, predict
 
 # Reference hyper-parameters (fixed values): 50 boosting rounds of depth-5 trees,
-# an 80/20 evaluation split with seed 42.
+# an 80/20 evaluation split with seed 42, 32 bins.
 MAX_ITER = 50
 MAX_DEPTH = 5
-SPLIT_WEIGHTS = [0.8, 0.2]
+TRAIN_SHARE = 0.8
 SPLIT_SEED = 42
+MAX_BINS = 32
 
 TARGETS = {
     "departure": (features.DEPARTURE_LABEL, predict.DEPARTURE_PREDICTION),
@@ -107,7 +108,8 @@ def _helper_columns() -> list[str]:
 
 def fit_delay_models(training: DataFrame, targets=("departure", "arrival"),
                      max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH,
-                     include_delay_time: bool = True, encoding: str = ONEHOT) -> DelayModels:
+                     include_delay_time: bool = True, encoding: str = ONEHOT,
+                     max_bins: int = MAX_BINS) -> DelayModels:
     """M4-M6: fit the shared feature stage once, then one GBT per target.
 
     The default is the reference's layout, one-hot categories and 32 bins.
@@ -126,14 +128,13 @@ def fit_delay_models(training: DataFrame, targets=("departure", "arrival"),
     training = (training.select(*features.CATEGORICAL_COLUMNS, *features.NUMERIC_COLUMNS, *labels)
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        return _fit(training, targets, labels, max_iter, max_depth, include_delay_time, encoding)
+        return _fit(training, targets, labels, max_iter, max_depth, include_delay_time, encoding, max_bins)
     finally:
         training.unpersist()
 
 
-def _fit(training, targets, labels, max_iter, max_depth, include_delay_time, encoding):
+def _fit(training, targets, labels, max_iter, max_depth, include_delay_time, encoding, max_bins):
     feature_model = feature_pipeline(include_delay_time, encoding).fit(training)
-    max_bins = 32
     if encoding == CATEGORICAL:
         # labels + the "keep" index
         max_bins = max([max_bins] + [len(l) + 1 for l in feature_model.stages[0].labelsArray])
@@ -164,10 +165,42 @@ def score(models: DelayModels, frame: DataFrame) -> DataFrame:
     return out.drop(*[c for c in _helper_columns() if c in out.columns])
 
 
+def in_training_part(key: str = "id", seed: int = SPLIT_SEED, share: float = TRAIN_SHARE) -> Column:
+    """Whether a row is of the training part: by a hash of its id, whatever the partitioning of the table.
+
+    The first 32 bits of sha-256 of ``<seed>:<id>`` lie below the share. A row without an id trains.
+    """
+    draw = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), 1, 8), 16, 10)
+    return F.coalesce(draw.cast("long") < int(share * 2 ** 32), F.lit(True))
+
+
 def split(training: DataFrame, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    """M8: 80/20 random split."""
-    train, test = training.randomSplit(SPLIT_WEIGHTS, seed=seed)
-    return train, test
+    """M8: 80/20 split by a hash of the flight's id."""
+    part = in_training_part(seed=seed)
+    return training.where(part), training.where(~part)
+
+
+def tree_nodes(models: DelayModels) -> DataFrame:
+    """Every node of every tree as a row: target, tree, node, depth, feature, threshold (null at leaves or for
+    categories), gain, prediction, rows. Trees are small models; their number is the number of rounds."""
+    rows = []
+    for target, fitted in models.regressors.items():
+        for t, tree in enumerate(fitted.trees):
+            stack, number = [(tree._call_java("rootNode"), 0)], 0
+            while stack:
+                node, depth = stack.pop()
+                inner = node.subtreeDepth() > 0
+                feature = int(node.split().featureIndex()) if inner else None
+                threshold = (float(node.split().threshold())
+                             if inner and node.split().getClass().getSimpleName() == "ContinuousSplit" else None)
+                rows.append((target, t, number, depth, feature, threshold, float(node.gain()) if inner else None,
+                             float(node.prediction()), int(node.impurityStats().count())))
+                number += 1
+                if inner:
+                    stack += [(node.rightChild(), depth + 1), (node.leftChild(), depth + 1)]
+    return SparkSession.active().createDataFrame(
+        rows, "target string, tree int, node int, depth int, feature int, threshold double, gain double, "
+              "prediction double, rows long")
 
 
 def evaluation(models: DelayModels, test: DataFrame) -> DataFrame:
@@ -179,13 +212,13 @@ def train_and_evaluate(flights: DataFrame, mode: str = "in_sample",
                        max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH,
                        include_delay_time: bool = True,
                        targets=("departure", "arrival"),
-                       encoding: str = ONEHOT) -> tuple[DelayModels, DataFrame]:
+                       encoding: str = ONEHOT, max_bins: int = MAX_BINS) -> tuple[DelayModels, DataFrame]:
     """Prepare, fit and evaluate (M8, M9, SURVEY T5).
 
     ``mode="in_sample"`` reproduces the reference: fit on all rows, report on
     a 20 % split of those same rows. ``mode="holdout"`` fits on the 80 % and
     reports on the unseen 20 %. The training frame is checkpointed once, so
-    the split is computed on fixed rows and survives executor loss.
+    the fit and the evaluation read fixed rows and survive executor loss.
     """
     from ..session import checkpoint_dir
 
@@ -193,7 +226,7 @@ def train_and_evaluate(flights: DataFrame, mode: str = "in_sample",
     training = features.training_frame(flights).checkpoint(eager=True)
     train, test = split(training)
     fit_rows = training if mode == "in_sample" else train
-    models = fit_delay_models(fit_rows, targets, max_iter, max_depth, include_delay_time, encoding)
+    models = fit_delay_models(fit_rows, targets, max_iter, max_depth, include_delay_time, encoding, max_bins)
     return models, evaluation(models, test)
 
 

@@ -38,15 +38,10 @@ def combine_predictions(arrival_scored: DataFrame, departure_scored: DataFrame,
                         key: str = "id") -> DataFrame:
     """Join two separately scored frames on ``key``.
 
-    The departure prediction is carried over under a temporary name and
-    renamed back, as the arrival frame may hold its own column of that name.
     Only needed when the two predictions come from different frames; the
     model path in ``operators.model`` scores both on one frame, no join.
     """
-    dep = departure_scored.select(key, F.col(DEPARTURE_PREDICTION).alias("final_dep_delay"))
-    arr = arrival_scored.drop(DEPARTURE_PREDICTION)
-    return (arr.join(dep, on=key, how="inner")
-            .withColumnRenamed("final_dep_delay", DEPARTURE_PREDICTION))
+    return arrival_scored.drop(DEPARTURE_PREDICTION).join(departure_scored.select(key, DEPARTURE_PREDICTION), on=key)
 
 
 def regression_metrics(predictions: DataFrame, label: str, prediction: str) -> DataFrame:

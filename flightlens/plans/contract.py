@@ -165,7 +165,9 @@ def estimated_times(spark, sf_dir):
 @query("combine_predictions")
 def combine_predictions(spark, sf_dir):
     """Departure and arrival predictions scored apart, joined on id."""
-    scored = group_mean_scored(spark, sf_dir)
+    # Both sides come from one scored frame, which is computed once.
+    scored = (group_mean_scored(spark, sf_dir).select("id", predict.DEPARTURE_PREDICTION, predict.ARRIVAL_PREDICTION)
+              .persist(StorageLevel.MEMORY_AND_DISK))
     arrivals = scored.drop(predict.DEPARTURE_PREDICTION)
     departures = scored.drop(predict.ARRIVAL_PREDICTION)
     return predict.combine_predictions(arrivals, departures).select(
@@ -340,12 +342,75 @@ def evaluate_models(spark, sf_dir):
     return metrics
 
 
+# A fit of one round and one split is one that SQL can state: the split of largest gain over all candidates, and the
+# mean label on either side. Bins enough for a threshold between any two delays.
+STUMP = {"max_iter": 1, "max_depth": 1, "max_bins": 64}
+
+
+@query("evaluation_split")
+def evaluation_split(spark, sf_dir):
+    """M8: which landed flights train and which are evaluated on."""
+    return _landed_training(spark, sf_dir).select("id", model.in_training_part().cast("int").alias("trains"))
+
+
+@query("gbt_stump_departure")
+def gbt_stump_departure(spark, sf_dir):
+    """M3-M7: departure fit of one round and one split, without the delay feature, scored on the scheduled flights."""
+    fitted = model.fit_delay_models(_landed_training(spark, sf_dir), targets=("departure",), include_delay_time=False, **STUMP)
+    scored = model.score(fitted, features.scoring_frame(testbed.scheduled_flights(spark, sf_dir)))
+    return scored.select("id", F.round(predict.DEPARTURE_PREDICTION, 6).alias(predict.DEPARTURE_PREDICTION))
+
+
+@query("gbt_stump_arrival")
+def gbt_stump_arrival(spark, sf_dir):
+    """M5, M7, M8: arrival fit of one round and one split on the training part, scored on the other part."""
+    train, test = model.split(_landed_training(spark, sf_dir))
+    fitted = model.fit_delay_models(train, targets=("arrival",), **STUMP)
+    return model.score(fitted, test).select("id", F.round(predict.ARRIVAL_PREDICTION, 6).alias(predict.ARRIVAL_PREDICTION))
+
+
+@query("evaluate_stumps")
+def evaluate_stumps(spark, sf_dir):
+    """Both one-split fits on 80 %, RMSE and MAE on the other 20 %."""
+    _, metrics = model.train_and_evaluate(testbed.landed_flights(spark, sf_dir), mode="holdout", **STUMP)
+    return metrics.select("model", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"), "rows")
+
+
+@query("prediction_job")
+def prediction_job(spark, sf_dir):
+    """The prediction job over stored tables, with one-split fits; today's table after it."""
+    tables = _fresh_store(spark)
+    tables.append(testbed.landed_flights(spark, sf_dir), "flights")
+    tables.append(testbed.scheduled_flights(spark, sf_dir), "scheduled_flights", SCHEDULED_FLIGHTS)
+    jobs.train_and_predict(spark, tables, **STUMP)
+    return tables.read("scheduled_flights")
+
+
 # --- table maintenance ----------------------------------------------------------
 
 # Fixed value: the scheduled flights are loaded as two daily pulls, split here.
 RESET_SPLIT_DATE = "1998-01-01"
 
 
+@query("scheduled_reload")
+def scheduled_reload(spark, sf_dir):
+    """today's table after a pull, after a pull that failed, and after another pull.
+
+    The pages of each pull are landed and loaded by the job; the failed pull
+    (all its pages are error bodies) leaves the rows of the first.
+    """
+    root, tables = scratch_location(spark, "landing"), _fresh_store(spark)
+    testbed.land_airport_pages(spark, sf_dir, root)
+    jobs.load_airports(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
+    after = None
+    for batch_id, side, year, broken in testbed.PULLS:
+        testbed.land_scheduled_pull(spark, sf_dir, root, HUB_COUNTRY, batch_id, side, year, broken)
+        jobs.load_scheduled(spark, root, tables, batch_id=batch_id)
+        seen = tables.read("scheduled_flights").drop("id").withColumn("after_pull", F.lit(batch_id)).checkpoint(eager=True)
+        after = seen if after is None else after.unionByName(seen)
+    return after
+
+
 @query("reset_then_load")
 def reset_then_load(spark, sf_dir):
     """Load a day, empty the table, load the next day -> only the last load.

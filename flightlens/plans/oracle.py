@@ -114,7 +114,79 @@ WITH airports_raw AS (
 )
 """
 
+
+
+def _stump(target: str, label: str, rows: str, numeric: list[str]) -> str:
+    """CTEs of an exact depth-1 regression fit on ``rows``: candidates, the best one, the mean label of its sides.
+
+    Candidates: midpoints between neighbouring values of each numeric feature, and each category against the rest.
+    The best has the largest sum of squared sums over counts, which is the largest reduction of variance.
+    """
+    values = "\n UNION ALL ".join(
+        [f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x, CAST(NULL AS VARCHAR) AS category, {label} AS y FROM {rows}" for c in numeric]
+        + [f"SELECT '{c}', NULL, {c}, {label} FROM {rows} WHERE {c} IS NOT NULL"
+           for c in ("airline_name", "departure_airport", "arrival_airport", "departure_country", "arrival_country")])
+    return f"""
+        , {target}_values AS ({values}),
+        {target}_all AS (SELECT count(*) AS n, sum({label}) AS s FROM {rows}),
+        {target}_groups AS (SELECT feature, x, category, count(*) AS n, sum(y) AS s FROM {target}_values GROUP BY ALL),
+        {target}_sides AS (
+          SELECT feature, category, CAST(NULL AS DOUBLE) AS threshold, n, s FROM {target}_groups WHERE category IS NOT NULL
+          UNION ALL
+          SELECT feature, NULL, (x + lead(x) OVER w) / 2, sum(n) OVER w, sum(s) OVER w
+          FROM {target}_groups WHERE category IS NULL WINDOW w AS (PARTITION BY feature ORDER BY x)
+        ),
+        {target}_best AS (
+          SELECT feature, category, threshold, d.s / d.n AS inside, (a.s - d.s) / (a.n - d.n) AS outside
+          FROM {target}_sides d, {target}_all a
+          WHERE (category IS NOT NULL OR threshold IS NOT NULL) AND d.n < a.n
+          ORDER BY d.s * d.s / d.n + (a.s - d.s) * (a.s - d.s) / (a.n - d.n) DESC LIMIT 1
+        )"""
+
+
+def _stump_score(target: str, numeric: list[str]) -> str:
+    """The prediction of ``{target}_best`` (as ``b``) for a row."""
+    number = " ".join(f"WHEN '{c}' THEN {c} <= b.threshold" for c in numeric)
+    named = " ".join(f"WHEN '{c}' THEN coalesce({c} = b.category, false)" for c in
+                     ("airline_name", "departure_airport", "arrival_airport", "departure_country", "arrival_country"))
+    return f"CASE WHEN CASE b.feature {number} {named} END THEN b.inside ELSE b.outside END"
+
+
+_CALENDAR = ["scheduled_hour", "scheduled_day_of_week", "scheduled_month"]
+_NUMERIC = ["delay_time", *_CALENDAR]
+_TRAINS = "CAST('0x' || substr(sha256('42:' || id), 1, 8) AS BIGINT) < 3435973836"
+_PARTS = f""", train_part AS (SELECT * FROM training WHERE {_TRAINS}),
+        test_part AS (SELECT * FROM training WHERE NOT ({_TRAINS}))"""
+
 _QUERIES = {
+    "evaluation_split": f"SELECT id, CAST({_TRAINS} AS INTEGER) AS trains FROM training",
+    "gbt_stump_departure": _stump("dep", "departure_delay_minutes", "training", _CALENDAR) + f"""
+        SELECT id, round({_stump_score('dep', _CALENDAR)}, 6) AS predicted_departure_delay FROM scoring, dep_best b""",
+    "gbt_stump_arrival": _PARTS + _stump("arr", "arrival_delay_minutes", "train_part", _NUMERIC) + f"""
+        SELECT id, round({_stump_score('arr', _NUMERIC)}, 6) AS predicted_arrival_delay FROM test_part, arr_best b""",
+    "evaluate_stumps": _PARTS + _stump("dep", "departure_delay_minutes", "train_part", _NUMERIC)
+        + _stump("arr", "arrival_delay_minutes", "train_part", _NUMERIC) + f"""
+        , errors AS (
+          SELECT 'departure' AS model, {_stump_score('dep', _NUMERIC)} - departure_delay_minutes AS e FROM test_part, dep_best b
+          UNION ALL
+          SELECT 'arrival', {_stump_score('arr', _NUMERIC)} - arrival_delay_minutes FROM test_part, arr_best b)
+        SELECT model, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae, count(*) AS rows
+        FROM errors GROUP BY model""",
+    "prediction_job": _stump("dep", "departure_delay_minutes", "training", _NUMERIC)
+        + _stump("arr", "arrival_delay_minutes", "training", _NUMERIC) + f"""
+        , dep_scored AS (SELECT id, {_stump_score('dep', _NUMERIC)} AS d FROM scoring, dep_best b),
+        arr_scored AS (SELECT id, {_stump_score('arr', _NUMERIC)} AS a FROM scoring, arr_best b)
+        SELECT s.*,
+          make_timestamp(CAST(trunc((epoch(CAST(departure_scheduled_time AS TIMESTAMPTZ)) + d * 60) * 1000000) AS BIGINT)) AS departure_estimated_time,
+          make_timestamp(CAST(trunc((epoch(CAST(arrival_scheduled_time AS TIMESTAMPTZ)) + a * 60) * 1000000) AS BIGINT)) AS arrival_estimated_time
+        FROM scheduled s JOIN dep_scored USING (id) JOIN arr_scored USING (id)""",
+    "scheduled_reload": f"""
+        , pulled AS (SELECT * EXCLUDE (id) FROM scheduled)
+        SELECT *, 'pull-1' AS after_pull FROM pulled WHERE arrival_country = '{HUB_COUNTRY}' AND flight_date LIKE '1997%'
+        UNION ALL
+        SELECT *, 'pull-2' FROM pulled WHERE arrival_country = '{HUB_COUNTRY}' AND flight_date LIKE '1997%'
+        UNION ALL
+        SELECT *, 'pull-3' FROM pulled WHERE departure_country = '{HUB_COUNTRY}' AND flight_date LIKE '1998%'""",
     "airports_dim": "SELECT id, airport_name, country_name FROM dim",
     "flights_enriched": "SELECT * FROM landed",
     "scheduled_enriched": "SELECT * FROM scheduled",

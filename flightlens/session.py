@@ -7,6 +7,10 @@ Every job in the package runs on a session that has these settings:
   with the offset-aware parse when the session zone is UTC (SURVEY T7).
 * AQE on, with skew-join splitting: the hub airport sits on one end of most
   flights, so a shuffle join keyed on an airport code has one hot key.
+* Shuffles are sized by AQE: on a cluster set
+  ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` for the largest
+  load (100 TB at 128 MB is about 800k) and AQE coalesces what turns out small to
+  ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
 * ANSI stays at the Spark default (on); every parse that may see bad text
   uses a ``try_`` function instead of relying on ANSI being off.
 """
@@ -15,7 +19,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,76 +62,6 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input bytes per shuffle partition when a job sizes its shuffles (100 TB / 128 MB is about 800k partitions).
-SHUFFLE_TARGET_BYTES_CONF = "flightlens.shuffle.targetBytes"
-SHUFFLE_TARGET_BYTES_DEFAULT = 128 * 1024 * 1024
-
-
-# Plan leaves whose size statistics are the bytes of the stored files.
-_STORED_RELATIONS = {"LogicalRelation", "HiveTableRelation", "DataSourceV2Relation",
-                     "DataSourceV2ScanRelation"}
-
-
-# Spark's stand-in for the size of a relation without statistics (spark.sql.defaultSizeInBytes).
-_UNKNOWN_SIZE = 2**63 - 1
-
-
-def input_bytes(df) -> int:
-    """Bytes of the stored relations ``df`` reads, from the optimizer's statistics.
-
-    The sum over the plan's leaves that are file or catalog scans (their
-    statistics are file sizes). No job runs. Other leaves count as 0: a
-    checkpointed or cached frame carries the estimate of the plan it came
-    from, and estimates of joins multiply row counts, which is meaningless
-    without table statistics.
-    """
-    jdf = getattr(df, "_jdf", None)
-    if jdf is None:  # a Spark Connect session has no plan handle here: size unknown
-        return 0
-    leaves = jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        if leaf.nodeName() in _STORED_RELATIONS:
-            size = int(str(leaf.stats().sizeInBytes()))
-            total += size if size < _UNKNOWN_SIZE else 0
-    return total
-
-
-def size_shuffle_partitions(spark: SparkSession, *frames) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``frames`` gets
-    about ``flightlens.shuffle.targetBytes`` of input per partition.
-
-    Never lowers the setting (a cluster's own larger value wins, and small
-    inputs keep the default); AQE coalesces partitions that turn out small, and
-    splits a skewed join partition, but never splits an oversized partition of
-    an aggregation, so the count must be large enough up front.
-    """
-    target = int(spark.conf.get(SHUFFLE_TARGET_BYTES_CONF, str(SHUFFLE_TARGET_BYTES_DEFAULT)))
-    wanted = -(-sum(input_bytes(f) for f in frames) // target)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current
-
-
-@contextmanager
-def sized_shuffles(spark: SparkSession, *frames):
-    """``size_shuffle_partitions`` for the jobs run inside the block only.
-
-    The setting is read when a job is planned, so this scopes it to the
-    actions of one pipeline step; afterwards the session's value is restored.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    size_shuffle_partitions(spark, *frames)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def broadcast_max_bytes(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES_DEFAULT)))
 

@@ -17,14 +17,14 @@ Nothing is sampled or capped: every line of ``lineitem`` becomes a flight.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dims import airport_dimension, broadcast_if_small
 from ..operators.enrich import with_countries
 from ..schemas import FLIGHTS, PAGE_FILES, SCHEDULED_FLIGHTS
-from ..session import size_shuffle_partitions
+from ..session import checkpoint_dir
 
 # Fixed values of the adapter (must equal the oracle SQL's):
 # supplier ids divisible by 17 are unknown airports, by 13 have an empty
@@ -111,7 +111,6 @@ def flight_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    size_shuffle_partitions(spark, lineitem, orders)
     # Orders grow with lineitem, so this join is a shuffle join on the order
     # key at any scale (never a broadcast of a fact table). It is also what
     # spreads the lines over tasks: the scan of a file with few row groups
@@ -245,29 +244,82 @@ NULL_AIRLINE_LINE = 6
 LOST_REQUEST = "dep-1993"
 
 
-def _write_pages(records: DataFrame, dataset: str, limit: int, root: str) -> None:
-    """Land ``records`` (request_id, sort, json) as page files, ``limit`` records each, one file per page."""
-    order = Window.partitionBy("request_id").orderBy("sort")
-    numbered = records.withColumn("place", F.row_number().over(order) - 1)
+def _numbered(records: DataFrame) -> DataFrame:
+    """``records`` with ``place``: 0, 1, ... within each request in the order of ``sort``.
+
+    The rows are sorted by (request, sort) over ranges; a row's place is its
+    number in its range plus the request's rows in earlier ranges. So a request
+    of any size is numbered by all tasks. What is added up and broadcast is a
+    row for each request and range.
+    """
+    checkpoint_dir(records.sparkSession)
+    order = ["request_id", "sort"]
+    ranged = (records.repartitionByRange(*order).sortWithinPartitions(*order, "json")
+              .withColumn("at", F.monotonically_increasing_id()).checkpoint(eager=True)
+              .withColumn("part", F.shiftright("at", 33)))
+    runs = ranged.groupBy("part", "request_id").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = runs.select(F.col("part").alias("before"), "request_id", F.col("n").alias("rows"))
+    starts = (runs.join(earlier, "request_id").where("before <= part").groupBy("part", "request_id", "first")
+              .agg((F.sum("rows") - F.max(F.when(F.col("before") == F.col("part"), F.col("n")))).alias("start")))
+    return (ranged.join(F.broadcast(starts), ["part", "request_id"])
+            .withColumn("place", (F.col("at") - F.col("first") + F.col("start")).cast("int"))
+            .drop("at", "part", "first", "start"))
+
+
+def _write_pages(records: DataFrame, dataset: str, limit: int, root: str, batch_id: str = LOAD_BATCH_ID,
+                 broken: bool = False) -> None:
+    """Land ``records`` (request_id, sort, json) as page files, ``limit`` records each, one file per page.
+
+    With ``broken`` every page lands as the error body of a failed call.
+    """
+    numbered = _numbered(records)
     totals = records.groupBy("request_id").agg(F.count(F.lit(1)).alias("total"))
     pages = (numbered.groupBy("request_id", (F.floor(F.col("place") / limit) * limit).cast("int").alias("offset"))
              .agg(F.sort_array(F.collect_list(F.struct("place", "json"))).alias("items"))
              .join(totals, "request_id")
              .where((F.col("request_id") != LOST_REQUEST) | (F.col("offset") > 0)))
-    body = F.concat(F.lit('{"pagination":{"total":'), F.col("total").cast("string"), F.lit('},"data":['),
+    good = F.concat(F.lit('{"pagination":{"total":'), F.col("total").cast("string"), F.lit('},"data":['),
                     F.array_join(F.transform("items", lambda x: x["json"]), ","), F.lit("]}"))
-    keys = {"dataset": F.lit(dataset), "batch_id": F.lit(LOAD_BATCH_ID), "limit": F.lit(limit)}
+    body = F.lit(BROKEN_PAGE_BODY) if broken else good
+    keys = {"dataset": F.lit(dataset), "batch_id": F.lit(batch_id), "limit": F.lit(limit)}
     (pages.select(body.alias("value"), "request_id", "offset").withColumns(keys)
      .repartition("request_id", "offset").write.mode("append")
      .partitionBy("dataset", "batch_id", "request_id", "limit", "offset").text(root))
 
 
-def land_hub_pages(spark: SparkSession, sf_dir: str, root: str, hub_country: str) -> None:
-    """Page files of the airports and of the hub country's landed flights, as the API would send them."""
+# Fixed values of the reload fixture (must equal the oracle SQL's): today's table is pulled three times, arrivals
+# at the hub country of one year, then a pull whose pages all fail, then departures from it of another year.
+PULLS = [("pull-1", "arrival_country", "1997", False), ("pull-2", "arrival_country", "1996", True),
+         ("pull-3", "departure_country", "1998", False)]
+
+
+def land_scheduled_pull(spark: SparkSession, sf_dir: str, root: str, hub_country: str, batch_id: str,
+                        hub_side: str, year: str, broken: bool) -> None:
+    """Page files of one pull of scheduled flights: one request."""
+    flights = enriched_flights(spark, sf_dir).where(
+        (F.col("status") == SCHEDULED) & (F.col(hub_side) == hub_country) & F.col("flight_date").startswith(year))
+    departure = F.struct(
+        F.col("dep_icao").alias("icao"), F.col("departure_airport").alias("airport"),
+        F.col("departure_timezone").alias("timezone"), F.col("departure_scheduled_time").alias("scheduled"))
+    arrival = F.struct(
+        F.col("arr_icao").alias("icao"), F.col("arrival_airport").alias("airport"),
+        F.col("arrival_timezone").alias("timezone"), F.col("arrival_scheduled_time").alias("scheduled"))
+    record = F.to_json(F.struct(F.col("flight_date"), F.struct(F.col("airline_name").alias("name")).alias("airline"),
+                                departure.alias("departure"), arrival.alias("arrival")))
+    requests = flights.select(F.lit(f"{hub_side}-{year}").alias("request_id"), F.col("id").alias("sort"), record.alias("json"))
+    _write_pages(requests, "scheduled_flights", FLIGHT_PAGE_LIMIT, root, batch_id, broken)
+
+
+def land_airport_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
     airports = airports_raw(spark, sf_dir).select(
         F.substring("id", 1, 1).alias("request_id"), F.col("id").alias("sort"),
         F.to_json(F.struct(F.col("id").alias("icao_code"), "airport_name", "country_name")).alias("json"))
     _write_pages(airports, "airports", AIRPORT_PAGE_LIMIT, root)
+
+
+def land_hub_pages(spark: SparkSession, sf_dir: str, root: str, hub_country: str) -> None:
+    """Page files of the airports and of the hub country's landed flights, as the API would send them."""
+    land_airport_pages(spark, sf_dir, root)
     flights = enriched_flights(spark, sf_dir).where(F.col("status") == LANDED)
     year = F.substring("flight_date", 1, 4)
     tags = F.array_compact(F.array(

@@ -1,63 +1,4 @@
-"""Shuffle sizing from input statistics."""
-
-from flightlens.session import SHUFFLE_TARGET_BYTES_CONF, input_bytes, size_shuffle_partitions
-from flightlens.sources import testbed
-
-from conftest import SF_SMALL
-
-
-def test_input_bytes_is_the_scanned_file_size(spark):
-    import os
-
-    lineitem = testbed.read_table(spark, SF_SMALL, "lineitem")
-    assert input_bytes(lineitem) == os.path.getsize(f"{SF_SMALL}/lineitem.parquet")
-    # a join's input is the sum of its leaves, not a multiplied estimate
-    orders = testbed.read_table(spark, SF_SMALL, "orders")
-    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-    assert input_bytes(joined) == input_bytes(lineitem) + input_bytes(orders)
-
-
-def test_shuffle_partitions_are_raised_never_lowered(spark):
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    lineitem = testbed.read_table(spark, SF_SMALL, "lineitem")
-    try:
-        # default target (128 MB): a small input keeps the setting
-        assert size_shuffle_partitions(spark, lineitem) == int(before)
-        assert spark.conf.get(key) == before
-        spark.conf.set(SHUFFLE_TARGET_BYTES_CONF, "10000")
-        wanted = -(-input_bytes(lineitem) // 10000)
-        assert size_shuffle_partitions(spark, lineitem) == max(wanted, int(before))
-        assert int(spark.conf.get(key)) == max(wanted, int(before))
-        spark.conf.set(SHUFFLE_TARGET_BYTES_CONF, "1")
-        twice = lineitem.unionByName(lineitem)
-        assert size_shuffle_partitions(spark, twice) == input_bytes(twice)  # no ceiling
-    finally:
-        spark.conf.unset(SHUFFLE_TARGET_BYTES_CONF)
-        spark.conf.set(key, before)
-
-
-def test_frames_without_statistics_do_not_inflate_the_count(spark):
-    """A checkpointed frame has no size statistics; it must not read as "huge"."""
-    staged = spark.range(10).checkpoint(eager=True)
-    assert input_bytes(staged) == 0
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert size_shuffle_partitions(spark, staged) == int(before)
-
-
-def test_sized_shuffles_restores_the_setting(spark):
-    from flightlens.session import sized_shuffles
-
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    lineitem = testbed.read_table(spark, SF_SMALL, "lineitem")
-    spark.conf.set(SHUFFLE_TARGET_BYTES_CONF, "10000")
-    try:
-        with sized_shuffles(spark, lineitem):
-            assert int(spark.conf.get(key)) > int(before)
-        assert spark.conf.get(key) == before
-    finally:
-        spark.conf.unset(SHUFFLE_TARGET_BYTES_CONF)
+"""Scratch places."""
 
 
 def test_scratch_location_keeps_any_scheme(spark, monkeypatch):
