@@ -7,7 +7,8 @@ each table and also probes the next likely codes (its second and third
 largest coordinates). Vectors that meet in a bucket, one of them filed there,
 are candidates, and candidates are verified by their cosine in double precision.
 
-Equal vectors are one class before anything is hashed, whatever their number.
+Equal vectors are one class before anything is hashed, whatever their number. A
+class has a number of its own; ids come back in at the end.
 Buckets of more than ``TILE`` rows are cut into tiles and every pair of tiles
 is a unit of work, so a hot bucket is spread over tasks and loses nothing. A
 unit multiplies its vectors as matrices and returns sums and a spanning forest
@@ -18,7 +19,8 @@ Links are between vectors with equal, non-null label, equal dimension and a
 cosine of at least the threshold. Defined results: a vector that is null, zero
 or empty, or holds a null or non-finite component, or whose label is null,
 links with nothing; rows that repeat a vec_id each give a row, and count as
-different vectors; an empty table gives no rows; further columns are ignored.
+different vectors; a row with a null vec_id gives a row that links with nothing,
+whose component is null, and is kept; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from flightlens.llm.common import components, map_arrow, ship, slices, stored
 
 THRESHOLD = 0.93
+#: Tables up to three rotations a code, and as many more for each further rotation.
 TABLES = 10
 PROBES = 3
 TILE = 2048
@@ -55,6 +58,16 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / math.sqrt(width)
 
 
+def tables_for(k: int) -> int:
+    """Tables for codes of ``k`` rotations: longer codes part near vectors more often."""
+    return TABLES * max(1, k - 2)
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square of a component over- or underflows; exact."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def codes(unit: np.ndarray, k: int, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
     """Bucket numbers of each row: (rows, tables, probes), the row's own bucket first.
 
@@ -99,9 +112,10 @@ def _keyed(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataF
     def run(batches):
         for batch in slices(batches, 2000):
             keys = []
-            for label, vector in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            ids = batch.column(0).is_valid().to_pylist()
+            for known, label, vector in zip(ids, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 key = None
-                if label is not None and vector and None not in vector:
+                if known and label is not None and vector and None not in vector:
                     x = np.array(vector, np.float64) + 0.0
                     if np.isfinite(x).all() and x.any():
                         key = xxhash.xxh3_128_digest(repr(label).encode() + b"\0" + x.tobytes())
@@ -116,32 +130,26 @@ def _keyed(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataF
     return map_arrow(chosen, run, f"vec_id long, vec {kind}, key binary, label string")
 
 
-def _filed(classes: DataFrame, k: int, kind: str) -> DataFrame:
-    """A row for each class, table and probe: the bucket, whether it is the class's own, and all its codes."""
+def _coded(classes: DataFrame, k: int) -> DataFrame:
+    """``classes`` with dim and codes: their bucket in each table and for each probe, their own first."""
+    tables = tables_for(k)
+
     def run(batches):
         for batch in slices(batches, 500):
-            ids, sizes, labels = (batch.column(i).to_pylist() for i in range(3))
-            vectors = [np.array(v, np.float64) for v in batch.column(3).to_pylist()]
-            for dim in sorted({len(v) for v in vectors}):
-                at = [i for i, v in enumerate(vectors) if len(v) == dim]
-                x = np.stack([vectors[i] for i in at])
-                found = codes(x / np.abs(x).max(1, keepdims=True), k)
-                n = TABLES * PROBES
-                pick = np.repeat(np.array(at), n)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.array([labels[i] for i in at], object).repeat(n), pa.string()),
-                    pa.array(np.full(len(pick), dim, np.int32)),
-                    pa.array(np.tile(np.arange(TABLES, dtype=np.int32).repeat(PROBES), len(at))),
-                    pa.array(found.reshape(-1)),
-                    pa.array(np.tile(np.arange(PROBES) == 0, len(at) * TABLES)),
-                    pa.array(np.array(ids)[pick]), pa.array(np.array(sizes)[pick]),
-                    batch.column(3).take(pa.array(pick)),
-                    pa.array([row.tobytes() for row in found.astype("<i8")], pa.binary()).take(
-                        pa.array(np.arange(len(at)).repeat(n))),
-                ], ["label", "dim", "tab", "bucket", "own", "id", "size", "vec", "codes"])
-
-    return map_arrow(classes, run, "label string, dim int, tab int, bucket long, own boolean, id long, size long, "
-                                   f"vec {kind}, codes binary")
+            vectors = [np.array(v, np.float64) for v in batch.column(batch.schema.names.index("vec")).to_pylist()]
+            dims = np.array([len(v) for v in vectors])
+            found = np.zeros((len(vectors), tables * PROBES), np.int64)
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                x = scaled(np.stack([vectors[i] for i in at]))
+                found[at] = codes(x / np.abs(x).max(1, keepdims=True), k, tables).reshape(len(at), -1)
+            offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * (tables * PROBES))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(dims.astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))],
+                [*batch.schema.names, "dim", "codes"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
+    return map_arrow(classes, run, f"{fields}, dim int, codes array<long>")
 
 
 def _counts_here(codes_, ids, a, b, tab, bucket):
@@ -219,32 +227,38 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     """vec_id, n_links, component_id, kept for every row."""
     spark = df.sparkSession
     ship(spark)
-    kind = df.schema[vector_col].dataType.simpleString()
     keyed = stored(_keyed(df, id_col, vector_col, label_col), "vector-keys")
     classes = stored(keyed.where("key is not null").groupBy("key").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("label").alias("label"),
-        F.first("vec").alias("vec")), "vector-classes")
+        F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("size"), F.first("label").alias("label"),
+        F.first("vec").alias("vec")).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
     largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).agg(
-        F.max("n"), F.max("dim"), F.sum("n")).first()
+        F.max("n"), F.max("dim")).first()
     if largest[0] is None:
         return keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.lit(True).alias("kept"))
     axes = 2 << max(1, (largest[1] - 1).bit_length())
     k = max(1, math.ceil(math.log(max(1.0, largest[0] / _BUCKET)) / math.log(axes)))
-    filed = _filed(classes.select("id", "size", "label", "vec"), k, kind)
+    tables = tables_for(k)
+    classes = stored(_coded(classes, k), "vector-codes")
     buckets = ["label", "dim", "tab", "bucket"]
-
-    hot = filed.groupBy(*buckets).agg(F.count(F.lit(1)).alias("n")).where(f"n > {TILE}")
-    hot = stored(hot.select(*buckets, F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "hot-buckets")
-    # A row of a cut bucket goes to every pair that its tile is in; others are a unit with one tile.
-    cut = filed.join(hot, buckets, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    # Only numbers are dealt and counted; vectors follow once the units are known.
+    filed = stored(classes.select("label", "dim", "id", F.posexplode("codes").alias("at", "bucket")).select(
+        "label", "dim", F.expr(f"at div {PROBES}").cast("int").alias("tab"), "bucket",
+        (F.col("at") % PROBES == 0).alias("own"), "id"), "vector-buckets")
+
+    # A row of a large bucket goes to every pair that its tile is in; others are a unit with one tile. Single rows meet nothing.
+    counts = filed.groupBy(*buckets).agg(F.count(F.lit(1)).alias("n"))
+    tiled = stored(counts.where("n > 1").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")), "bucket-tiles")
+    total = tiled.agg(F.sum(F.col("n") * F.col("tiles"))).first()[0] or 0
+    cut = filed.join(tiled.drop("n"), buckets)
     cut = cut.withColumn("mine", F.pmod(F.xxhash64("id"), F.col("tiles").cast("long")).cast("int"))
     units = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     units = units.select(*buckets, F.least("mine", "other").alias("t1"), F.greatest("mine", "other").alias("t2"),
-                         "mine", "own", "id", "size", "vec", "codes")
-    groups = max(1, largest[2] * TABLES * PROBES // _GROUP_ROWS)
+                         "mine", "own", "id")
+    groups = max(1, total // _GROUP_ROWS)
     keys = [*buckets, "t1", "t2"]
-    dealt = units.withColumn("group", F.pmod(F.xxhash64(*keys), F.lit(groups)))
+    dealt = (units.join(classes.select("id", "size", "vec", "codes"), "id")
+             .withColumn("group", F.pmod(F.xxhash64(*keys), F.lit(groups))))
 
     def work(table):
         order = table.sort_by([(c, "ascending") for c in [*keys, "id"]])
@@ -253,7 +267,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
         marks = [table[c].to_pylist() for c in keys]
         ids, sizes = table["id"].to_numpy(), table["size"].to_numpy()
         own, mine = table["own"].to_numpy(zero_copy_only=False), table["mine"].to_numpy()
-        all_codes = np.frombuffer(b"".join(table["codes"].to_pylist()), "<i8").reshape(-1, TABLES, PROBES)
+        all_codes = table["codes"].combine_chunks().flatten().to_numpy().reshape(-1, tables, PROBES)
         row_keys = list(zip(*marks))
         starts = [i for i in range(len(row_keys)) if i == 0 or row_keys[i] != row_keys[i - 1]] + [len(row_keys)]
         out_id, out_root, out_sum = [], [], []
@@ -262,6 +276,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
                 continue
             _, dim, tab, bucket, t1, t2 = row_keys[s]
             x = vectors.slice(s, e - s).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            x = scaled(x)
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             sums, root = unit_links(ids[s:e], sizes[s:e], x, all_codes[s:e], own[s:e], (mine[s:e] != t1).astype(int),
                                     tab, bucket, t1 != t2, threshold)
@@ -277,11 +292,12 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     found = stored(dealt.groupBy("group").applyInArrow(work, "id long, root long, links long"), "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     tops = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")
-    named = (classes.select("key", "id", "size").join(links, "id", "left")
-             .join(tops.toDF("id", "top"), "id", "left")
-             .select("key", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-                     F.coalesce("top", "id").alias("top")))
+    joined = (classes.select("key", "id", "low", "size").join(links, "id", "left")
+              .join(tops.toDF("id", "top"), "id", "left").withColumn("top", F.coalesce("top", "id")))
+    smallest = joined.groupBy("top").agg(F.min("low").alias("smallest"))
+    named = joined.join(smallest, "top").select(
+        "key", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "smallest")
     out = keyed.select("vec_id", "key").join(named, "key", "left")
-    component = F.coalesce("top", "vec_id")
+    component = F.coalesce("smallest", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                      component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+                      component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -8,7 +8,10 @@ stands between such points is kept.
 A line weighs its characters outside links. Text of menus, headers, footers,
 sidebars, notices, adverts, forms and reader comments, known by element or by
 words of their class, id or role, weighs nothing, so the distribution is flat
-there. Inside ``article`` or ``main`` (unless its class or a container is
+there. Class and id names are judged one by one: a name is boilerplate if its
+first or last word is such a word and none is a word of page settings. Where
+that leaves no window of text, but the page has one without it, names of
+classes do not count: the distribution overrules a container that holds the text. Inside ``article`` or ``main`` (unless its class or a container is
 boilerplate) a character weighs ``MAIN_WEIGHT`` times as much; link text weighs
 there too if it is all there is. A window must reach ``SURGE_CHARS`` (or the
 page's fullest window, if that is less) on every page, which leaves stray
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,48 +52,58 @@ _BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising adb
     promotion banner cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login
     nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside rail widget widgets footer masthead share
     sharing social comment comments commentlist disqus replies respond related recommended""".split())
-#: Words of a class name that make it a setting of the page (comments-open, no-sidebar), by which an article stays one.
+#: Words of a class name that make it a setting of the page (comments-open, no-sidebar).
 _SETTINGS = frozenset("has no with without open opened closed enabled disabled none on off left right".split())
 _MAIN = ("article", "main")
 _BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog".split())
 
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    # A quote opens a value right after "=" only.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>", re.S)
+#: A comment, CDATA section or declaration that nothing ends.
+_UNCLOSED = re.compile(r"<!--.*|<!\[CDATA\[.*|<[!?][^>]*\Z", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in _RAW}
 _WORD = re.compile(r"[a-z]+")
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 
 
-def _boiler(name: str, attributes: str, in_main: bool) -> bool:
+def _boiler(name: str, attributes: str, in_main: bool, by_class: bool = True) -> bool:
     if name in _BOILER or (name == "header" and not in_main):
         return True
     if not attributes or name in ("body", "html"):
         return False
     for key, *values in _NAMED.findall(attributes):
-        names = re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values)).lower()
-        for words in map(set, map(_WORD.findall, names.split() if name in _MAIN else [names])):
-            if name in _MAIN and words & _SETTINGS:
-                continue
-            if words & (_BOILER_ROLES if key.lower() == "role" else _BOILER_WORDS):
+        names = re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values)).lower().split()
+        role = key.lower() == "role"
+        for words in map(_WORD.findall, names if role or by_class else ()):
+            if role and not _BOILER_ROLES.isdisjoint(words):
+                return True
+            if not role and words and _SETTINGS.isdisjoint(words) and not _BOILER_WORDS.isdisjoint((words[0], words[-1])):
                 return True
     return False
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
+def page_lines(page: str, by_class: bool = True) -> list[tuple[str, int, bool, bool]]:
     """Blocks of a page in order as (text, weight, boilerplate, in article or main).
 
     The weight is what the block counts in the distribution: 0 for boilerplate.
-    Unclosed elements end with their parent, as browsers do it.
+    Unclosed elements end with their parent, as browsers do it; a link ends with
+    the block around it at the latest, and an ``a`` without ``href`` is none.
+    Time is linear in the page, whatever its markup.
     """
     lines: list[tuple[str, bool, int, bool]] = []  # text, boilerplate, characters in links, in main
     text: list[str] = []
     links = 0
     stack: list[tuple[str, bool, bool]] = []  # open elements other than inline ones; boilerplate or not, main or not
     boiler, main, in_link = 0, 0, 0
+    opened: Counter = Counter()  # how many elements of each name are on the stack
+    last = page.rfind(">") + 1  # no tag ends behind it
 
     def end_block():
-        nonlocal text, links
+        nonlocal text, links, in_link
+        in_link = 0
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             if line:
@@ -105,10 +119,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
     def leave(name: str):
         nonlocal boiler, main
-        if not any(open_ == name for open_, *_ in stack):
+        if not opened[name]:
             return
         while stack:
             open_, is_boiler, is_main = stack.pop()
+            opened[open_] -= 1
             boiler -= is_boiler
             main -= is_main
             if open_ == name:
@@ -116,19 +131,19 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
     at = 0
     while True:
-        piece = _PIECE.search(page, at)
+        piece = _PIECE.search(page, at, last) or _UNCLOSED.search(page, max(at, last))
         if piece is None:
             add(page[at:])
             break
         add(page[at:piece.start()])
         at = piece.end()
-        name = (piece[2] or "").lower()
+        name = (piece[2] or "").lower() if piece.re is _PIECE else ""
         if not name:
             continue
         if piece[1]:
             if name == "a":
                 in_link = 0
-            if name in _BLOCKS or any(open_ == name for open_, *_ in stack):
+            if name in _BLOCKS or opened[name]:
                 end_block()
                 leave(name)
         elif name in _RAW:
@@ -140,9 +155,9 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
         elif name == "br":
             add(" ")
         elif name == "a":
-            in_link = 1
+            in_link = int(_HREF.search(piece[3]) is not None)
         else:
-            is_boiler = _boiler(name, piece[3], main > 0)
+            is_boiler = _boiler(name, piece[3], main > 0, by_class)
             if name in _BLOCKS or is_boiler:
                 end_block()
                 if name in _VOID or piece[3].endswith("/"):
@@ -154,6 +169,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
                 boiler += is_boiler
                 is_main = name in _MAIN and not boiler
                 stack.append((name, is_boiler, is_main))
+                opened[name] += 1
                 main += is_main
     end_block()
     plain = any(inside and not out and linked < len(line) for line, out, linked, inside in lines)
@@ -161,10 +177,23 @@ def page_lines(page: str) -> list[tuple[str, int, bool, bool]]:
              out, inside) for line, out, linked, inside in lines]
 
 
+def _has_text(blocks: list[tuple[str, int, bool, bool]], window: int, surge_chars: int) -> bool:
+    """Whether some window of lines that are no boilerplate holds as much as a surge."""
+    weights = [0, *(weight for _, weight, *_ in blocks)]
+    total = np.cumsum(weights)
+    return bool(len(total) > 1 and (total[min(window, len(total) - 1):] - total[:len(total) - min(window, len(total) - 1)]).max()
+                >= surge_chars)
+
+
 def main_text(page: str | None, window: int = WINDOW_LINES, surge_chars: int = SURGE_CHARS) -> str:
     """The text between surge and dive points, blocks joined by one line feed."""
+    blocks = page_lines(page or "")
+    if not _has_text(blocks, window, surge_chars):
+        plain = page_lines(page or "", by_class=False)
+        if _has_text(plain, window, surge_chars):
+            blocks = plain
     # Boilerplate inside article or main is passed over; each run of lines inside or outside of them has windows of its own.
-    lines = [(line, weight, inside) for line, weight, out, inside in page_lines(page or "") if not (out and inside)]
+    lines = [(line, weight, inside) for line, weight, out, inside in blocks if not (out and inside)]
     if not any(w for _, w, _ in lines):
         return ""
     weight = np.array([w for _, w, _ in lines])

@@ -10,8 +10,8 @@ rejected; its prediction stands.
 
 The dictionaries are the only thing fitted, on a bounded sample of labelled
 rows: for each language the ``SAMPLE_TEXTS`` rows with the smallest hash of
-their id, the first ``SAMPLE_CHARS`` characters each, ``DICTIONARY_BYTES`` in
-all. Prediction reads every whole text and nothing but the text.
+their id, a window of ``SAMPLE_CHARS`` characters each, at a place that a hash
+draws from the whole text (shorter texts whole), as many as fit ``DICTIONARY_BYTES``. Prediction reads every whole text and nothing but the text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; ties go to the alphabetically first language with score 0; with
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from flightlens.llm.common import map_arrow, slices
 
 UNKNOWN = "und"
-SAMPLE_TEXTS = 800
+SAMPLE_TEXTS = 500
 SAMPLE_CHARS = 500
 DICTIONARY_BYTES = 256 * 1024
 LEVEL = 7
@@ -68,12 +68,24 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         share = F.when(F.col("lang") == lang, min(1.0, 3 * SAMPLE_TEXTS / n)).otherwise(share)
     drawn = labelled.where(F.pmod("draw", F.lit(1 << 20)) < share * (1 << 20))
     order = Window.partitionBy("lang").orderBy("draw", "text")
-    sample = (drawn.select("lang", "draw", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    begin = F.pmod(F.xxhash64("draw", F.lit(SAMPLE_CHARS)), room.cast("long")).cast("int") + 1
+    window = F.substring(F.col("text"), begin, F.lit(SAMPLE_CHARS))
+    sample = (drawn.select("lang", "draw", window.alias("text"))
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE_TEXTS))
     texts: dict[str, list] = {}
     for row in sample.collect():
         texts.setdefault(row["lang"], []).append((row["place"], row["text"]))
-    return {lang: b"".join(normal(t) for _, t in sorted(rows))[:DICTIONARY_BYTES] for lang, rows in texts.items()}
+    out = {}
+    for lang, rows in texts.items():
+        parts, size = [], 0
+        for _, text in sorted(rows):
+            part = normal(text)
+            if size + len(part) <= DICTIONARY_BYTES:
+                parts.append(part)
+                size += len(part)
+        out[lang] = b"".join(parts)
+    return out
 
 
 class Classifier:

@@ -155,16 +155,41 @@ def test_embedding_recall_and_links(spark, monkeypatch):
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     near = (unit @ unit.T >= 0.93) & ((np.arange(600)[:, None] - np.arange(600)) % 2 == 0)
     np.fill_diagonal(near, False)
-    true, found = near.sum(1), np.array([out[i]["n_links"] for i in range(600)])
-    assert (found <= true).all() and found.sum() >= 0.9 * true.sum()
-    if (found == true).all():
-        want = roots(range(600), [(int(a), int(b)) for a, b in np.argwhere(near) if a < b])
-        assert {i: out[i]["component_id"] for i in range(600)} == want
+    found = np.array([out[i]["n_links"] for i in range(600)])
+    assert (found == near.sum(1)).all()
+    want = roots(range(600), [(int(a), int(b)) for a, b in np.argwhere(near) if a < b])
+    assert {i: out[i]["component_id"] for i in range(600)} == want
     for i, *_ in dirty:
         assert (out[i]["n_links"], out[i]["component_id"], out[i]["kept"]) == (0, i, True)
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_embedding_rows_with_null_repeated_and_extreme_values(spark):
+    """Every row against brute force: rows are vectors of their own, whatever their id; sizes of components do not matter."""
+    rng = np.random.default_rng(8)
+    a, b, c = (rng.normal(size=16) for _ in range(3))
+
+    def near(v, e=0.05):
+        return [float(x) for x in v + rng.normal(size=16) * e]
+
+    rows = [(1, near(a, 0), 0), (1, near(b, 0), 0), (2, near(a), 0), (3, near(b), 0), (4, near(b), 0), (1, near(a, 0), 0),
+            (7, near(c), 0), (7, near(c), 0), (20, [x * 1e200 for x in near(a)], 0), (21, [x * 1e-200 for x in near(b)], 0),
+            (None, near(a, 0), 0), (None, near(c), 1), (30, near(c), 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    unit = np.array([np.array(v) / np.abs(v).max() for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = [[i != j and rows[i][0] is not None and rows[j][0] is not None and rows[i][2] == rows[j][2]
+               and float(unit[i] @ unit[j]) >= 0.93 for j in range(len(rows))] for i in range(len(rows))]
+    tops = roots(range(len(rows)), [(i, j) for i in range(len(rows)) for j in range(i) if linked[i][j]])
+    lowest = {t: min(rows[i][0] for i in tops if tops[i] == t and rows[i][0] is not None)
+              for t in set(tops.values()) if rows[t][0] is not None}
+    want = sorted(((r[0] or 0), sum(linked[i]), lowest.get(tops[i], 0), r[0] is None or r[0] == lowest[tops[i]])
+                  for i, r in enumerate(rows))
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"])
+                 for r in embedding_dedup.near_duplicates(frame).collect())
+    assert got == want
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 32))
     y = embedding_dedup.hadamard(x)

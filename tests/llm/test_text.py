@@ -127,3 +127,56 @@ def test_scores_prefer_seen_order(docs):
     assert (out[99]["n_tokens"], out[99]["log_likelihood"], out[99]["mean_logprob"]) == (0, 0.0, None)
     assert out[101]["n_tokens"] == 1 and len(out) == 34
     assert lm_scoring.report(docs([])).count() == 0
+
+
+LONG = "This sentence stands for the article of the page and is long enough to be one. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="content has-sidebar"><p>{LONG}</p></div>',
+    f'<div class="content-sidebar-wrap"><p>{LONG}</p></div>',
+    f'<div id=page class="no-sidebar"><article><p>{LONG}</p></article></div>',
+    f'<a name=top><div><p>{LONG}</p></div>',
+    f'<div><a href="/x">menu<p>{LONG}</p></div>',
+    f"<div data-x=it's><p>{LONG}</p></div>",
+    f'<div class="sidebar"><p>{LONG}</p></div>',
+])
+def test_text_in_containers_of_misleading_names(page):
+    assert LONG.strip() in html_text.main_text(page)
+    assert "data-x" not in html_text.main_text(page) and "it's" not in html_text.main_text(page)
+
+
+def test_boilerplate_by_names_still_goes():
+    page = (f'<div class="site-nav">Home</div><div class="post"><p>{LONG}</p></div><div id="commentList"><p>{LONG[:90]} first!</p></div>'
+            f'<div class="footer-links">Imprint</div>')
+    assert html_text.main_text(page) == LONG.strip()
+
+
+def test_malformed_and_long_pages_take_linear_time():
+    import time
+
+    for page in ("<p '" * 60_000, "<div>" * 30_000 + "</b>" * 30_000 + LONG, '<p a="' * 60_001, "<!-- " * 60_000, "<p>" + LONG * 20_000):
+        began = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - began < 5, page[:10]
+    assert html_text.main_text("<p>" + LONG * 20_000) == (LONG * 20_000).strip()
+
+
+def test_language_sizes_recomputed(docs):
+    """The prediction is the language of the smallest compressed size, recomputed one by one; ties go to the first name."""
+    import zstandard
+
+    words = {"aa": "lorem ipsum dolor sit amet".split(), "bb": "quick brown foxes jump over".split()}
+    texts = [(lang, " ".join(words[lang][(i * k) % 5] for k in range(1, 60))) for i in range(1, 30) for lang in words]
+    dictionaries = {lang: b"".join(language_id.normal(t) for x, t in texts if x == lang) for lang in words}
+    judge = language_id.Classifier(dictionaries)
+    for _, text in texts + [("", "lorem quick " * 40), ("", "zzz " * 9)]:
+        plain = language_id.normal(text)
+        sizes = {}
+        for lang, data in dictionaries.items():
+            made = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            packer = zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=made, write_content_size=False, write_dict_id=False)
+            sizes[lang] = len(packer.compress(plain))
+        assert judge.predict(text)[0] == min(sizes, key=lambda x: (sizes[x], x))
+    same = language_id.Classifier({"bb": dictionaries["aa"], "aa": dictionaries["aa"]})
+    assert same.predict("lorem ipsum dolor")[:2] == ("aa", 0.0)
