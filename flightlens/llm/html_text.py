@@ -10,8 +10,9 @@ sidebars, notices, adverts, forms and reader comments, known by element or by
 words of their class, id or role, weighs nothing, so the distribution is flat
 there. Class and id names are judged one by one: a name is boilerplate if its
 first or last word is such a word and none is a word of page settings. Where
-that leaves no window of text, but the page has one without it, names of
-classes do not count: the distribution overrules a container that holds the text. Inside ``article`` or ``main`` (unless its class or a container is
+that leaves no window of text and less than ``LEAST_SHARE`` of what the page has
+without it, names of classes do not count: the distribution overrules a
+container that holds nearly all text. Inside ``article`` or ``main`` (unless its class or a container is
 boilerplate) a character weighs ``MAIN_WEIGHT`` times as much; link text weighs
 there too if it is all there is. A window must reach ``SURGE_CHARS`` (or the
 page's fullest window, if that is less) on every page, which leaves stray
@@ -177,20 +178,23 @@ def page_lines(page: str, by_class: bool = True) -> list[tuple[str, int, bool, b
              out, inside) for line, out, linked, inside in lines]
 
 
-def _has_text(blocks: list[tuple[str, int, bool, bool]], window: int, surge_chars: int) -> bool:
-    """Whether some window of lines that are no boilerplate holds as much as a surge."""
-    weights = [0, *(weight for _, weight, *_ in blocks)]
-    total = np.cumsum(weights)
-    return bool(len(total) > 1 and (total[min(window, len(total) - 1):] - total[:len(total) - min(window, len(total) - 1)]).max()
-                >= surge_chars)
+#: Share of a page's text that stays outside of containers judged by class, below which these are looked at again.
+LEAST_SHARE = 0.1
+
+
+def _largest_window(blocks: list[tuple[str, int, bool, bool]], window: int) -> int:
+    total = np.cumsum([0, *(weight for _, weight, *_ in blocks)])
+    wide = min(window, len(blocks))
+    return int((total[wide:] - total[:len(total) - wide]).max())
 
 
 def main_text(page: str | None, window: int = WINDOW_LINES, surge_chars: int = SURGE_CHARS) -> str:
     """The text between surge and dive points, blocks joined by one line feed."""
     blocks = page_lines(page or "")
-    if not _has_text(blocks, window, surge_chars):
+    if _largest_window(blocks, window) < surge_chars:
         plain = page_lines(page or "", by_class=False)
-        if _has_text(plain, window, surge_chars):
+        if _largest_window(plain, window) >= surge_chars and (
+                sum(w for _, w, *_ in blocks) < LEAST_SHARE * sum(w for _, w, *_ in plain)):
             blocks = plain
     # Boilerplate inside article or main is passed over; each run of lines inside or outside of them has windows of its own.
     lines = [(line, weight, inside) for line, weight, out, inside in blocks if not (out and inside)]
