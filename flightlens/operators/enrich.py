@@ -50,6 +50,30 @@ def with_countries(flights: DataFrame, dimension: DataFrame,
             .join(side("arrival", arr_code), on=arr_code, how="inner"))
 
 
+def with_countries_or_reason(flights: DataFrame, dimension: DataFrame, dep_code: str = "dep_icao",
+                             arr_code: str = "arr_icao") -> DataFrame:
+    """``flights`` with both countries, and ``reject_reason`` where one is missing (F2, F3); no row is dropped.
+
+    ``flights`` has a ``reject_reason`` (NULL where the record is readable),
+    which wins. Rows without a reason are those that ``with_countries`` keeps.
+    """
+    dim, _ = broadcast_if_small(dimension, persist=False)
+
+    def side(prefix: str, code: str) -> DataFrame:
+        return dim.select(F.col("id").alias(code), F.col("country_name").alias(f"{prefix}_country"))
+
+    def missing(code: str):
+        return F.coalesce(F.col(code), F.lit("")) == ""
+
+    joined = flights.join(side("departure", dep_code), dep_code, "left").join(side("arrival", arr_code), arr_code, "left")
+    return joined.withColumn("reject_reason", F.coalesce(
+        F.col("reject_reason"),
+        F.when(missing(dep_code), F.lit("departure code is missing"))
+        .when(missing(arr_code), F.lit("arrival code is missing"))
+        .when(F.col("departure_country").isNull(), F.lit("departure airport is unknown"))
+        .when(F.col("arrival_country").isNull(), F.lit("arrival airport is unknown"))))
+
+
 def lookup_country(airports_dimension: DataFrame, icao_code: str) -> DataFrame:
     """Point lookup of one airport (F5): ``WHERE id = <code>``, one row or none."""
     return (airports_dimension

@@ -18,7 +18,7 @@ from ..operators import enrich, features, model, predict, store
 from ..operators.dims import broadcast_if_small
 from ..plans import dashboard as dash
 from ..plans import jobs
-from ..schemas import SCHEDULED_FLIGHTS
+from ..schemas import FLIGHTS, SCHEDULED_FLIGHTS
 from ..session import apply_defaults, scratch_location
 from ..sources import landing, testbed
 
@@ -105,6 +105,39 @@ def delay_default(spark, sf_dir):
                           F.col("delay").isNull().cast("int").alias("delay_defaulted"))
 
 
+@query("time_text_labels")
+def time_text_labels(spark, sf_dir):
+    """Labels and calendar of landed flights whose times come with ``Z``, an offset, a fraction, no
+    time at all or NULL; flights without an actual arrival do not train."""
+    flights = testbed.with_time_texts(testbed.enriched_flights(spark, sf_dir), "departure_scheduled_time")
+    gone = F.when(F.col("l_orderkey") % testbed.NO_ACTUAL_MOD != 0, F.col("arrival_actual_time"))
+    landed = flights.where(F.col("status") == testbed.LANDED).withColumn("arrival_actual_time", gone).to(FLIGHTS)
+    return features.training_frame(landed).select(
+        "id", features.DEPARTURE_LABEL, features.ARRIVAL_LABEL, "scheduled_hour", "scheduled_day_of_week", "scheduled_month")
+
+
+@query("time_text_dashboard")
+def time_text_dashboard(spark, sf_dir):
+    """The dashboard's texts and numbers of scheduled times in all those forms."""
+    flights = testbed.with_time_texts(testbed.enriched_flights(spark, sf_dir), "departure_scheduled_time",
+                                      "arrival_scheduled_time")
+    shown = dash.dashboard(flights.where(F.col("status") == testbed.SCHEDULED).to(SCHEDULED_FLIGHTS))
+    return shown.select("id", "departure_scheduled_time", "departure_scheduled_time_number",
+                        "arrival_scheduled_time", "arrival_scheduled_time_number")
+
+
+@query("rejected_rows")
+def rejected_rows(spark, sf_dir):
+    """Every record the load leaves out, with its reason, as the load job wrote it to its second table."""
+    root, tables = scratch_location(spark, "landing"), _fresh_store(spark)
+    testbed.land_airport_pages(spark, sf_dir, root)
+    testbed.land_yearly_pages(spark, sf_dir, root)
+    jobs.load_airports(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
+    jobs.load_flights(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID, rejects_table="rejected_flights")
+    return tables.read("rejected_flights").select(
+        "request_id", F.get_json_object("record", "$.flight.icao").alias("flight_code"), "reject_reason")
+
+
 @query("country_lookup")
 def country_lookup(spark, sf_dir):
     """point lookup of one airport's country."""

@@ -158,7 +158,43 @@ _TRAINS = "CAST('0x' || substr(sha256('42:' || id), 1, 8) AS BIGINT) < 343597383
 _PARTS = f""", train_part AS (SELECT * FROM training WHERE {_TRAINS}),
         test_part AS (SELECT * FROM training WHERE NOT ({_TRAINS}))"""
 
+def _time_text(column: str) -> str:
+    return f"""CASE l_orderkey % 6 WHEN 0 THEN left({column}, 19) || '+00:00' WHEN 1 THEN left({column}, 19) || 'Z'
+        WHEN 2 THEN left({column}, 19) || '-06:00' WHEN 3 THEN left({column}, 19) || '.5+00:00' WHEN 4 THEN 'soon' END"""
+
+
+def _wall(column: str) -> str:
+    return f"string_split(string_split({column}, 'T')[1] || ' ' || string_split({column}, 'T')[2], '+')[1]"
+
+
 _QUERIES = {
+    "time_text_labels": f"""
+        , texts AS (SELECT *, TRY_CAST({_time_text('departure_scheduled_time')} AS TIMESTAMPTZ) AS dst
+                    FROM enriched WHERE status = 'F' AND l_orderkey % 11 <> 0)
+        SELECT id, (epoch(CAST(departure_actual_time AS TIMESTAMPTZ)) - floor(epoch(dst))) / 60 AS departure_delay_minutes,
+               (epoch(CAST(arrival_actual_time AS TIMESTAMPTZ)) - epoch(CAST(arrival_scheduled_time AS TIMESTAMPTZ))) / 60 AS arrival_delay_minutes,
+               CAST(hour(dst AT TIME ZONE 'UTC') AS INTEGER) AS scheduled_hour,
+               CAST(dayofweek(dst AT TIME ZONE 'UTC') + 1 AS INTEGER) AS scheduled_day_of_week,
+               CAST(month(dst AT TIME ZONE 'UTC') AS INTEGER) AS scheduled_month
+        FROM texts WHERE dst IS NOT NULL""",
+    "time_text_dashboard": f"""
+        , texts AS (SELECT id, {_time_text('departure_scheduled_time')} AS d, {_time_text('arrival_scheduled_time')} AS a
+                    FROM enriched WHERE status = 'O'),
+        walls AS (SELECT id, {_wall('d')} AS d, {_wall('a')} AS a FROM texts)
+        SELECT id, d AS departure_scheduled_time,
+               (epoch(try_strptime(d, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS departure_scheduled_time_number,
+               a AS arrival_scheduled_time,
+               (epoch(try_strptime(a, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS arrival_scheduled_time_number
+        FROM walls""",
+    "rejected_rows": """
+        SELECT request_id, flight_code, reject_reason FROM (
+          SELECT 'year-' || substr(flight_date, 1, 4) AS request_id, r.id AS flight_code,
+                 CASE WHEN l_linenumber = 6 THEN 'airline is no object'
+                      WHEN l_linenumber = 5 THEN 'departure code is missing'
+                      WHEN d.id IS NULL THEN 'departure airport is unknown'
+                      WHEN a.id IS NULL THEN 'arrival airport is unknown' END AS reject_reason
+          FROM records r LEFT JOIN dim d ON r.dep_icao = d.id LEFT JOIN dim a ON r.arr_icao = a.id
+          WHERE status = 'F') WHERE reject_reason IS NOT NULL""",
     "evaluation_split": f"SELECT id, CAST({_TRAINS} AS INTEGER) AS trains FROM training",
     "gbt_stump_departure": _stump("dep", "departure_delay_minutes", "training", _CALENDAR) + f"""
         SELECT id, round({_stump_score('dep', _CALENDAR)}, 6) AS predicted_departure_delay FROM scoring, dep_best b""",

@@ -310,6 +310,45 @@ def land_scheduled_pull(spark: SparkSession, sf_dir: str, root: str, hub_country
     _write_pages(requests, "scheduled_flights", FLIGHT_PAGE_LIMIT, root, batch_id, broken)
 
 
+def land_yearly_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Page files of all landed flights, unknown airports included: a request for each year, with malformed records."""
+    flights = flight_records(spark, sf_dir).where(F.col("status") == LANDED)
+    departure = F.struct(
+        F.when(F.col("l_linenumber") == EMPTY_CODE_LINE, F.lit("")).otherwise(F.col("dep_icao")).alias("icao"),
+        F.col("departure_scheduled_time").alias("scheduled"), F.col("departure_actual_time").alias("actual"),
+        F.col("delay").alias("delay"))
+    arrival = F.struct(
+        F.col("arr_icao").alias("icao"), F.col("arrival_scheduled_time").alias("scheduled"),
+        F.col("arrival_actual_time").alias("actual"))
+    airline = F.when(F.col("l_linenumber") != NULL_AIRLINE_LINE, F.struct(F.col("airline_name").alias("name")))
+    record = F.to_json(F.struct(F.col("flight_date"), F.struct(F.col("id").alias("icao")).alias("flight"),
+                                airline.alias("airline"), departure.alias("departure"), arrival.alias("arrival")),
+                       {"ignoreNullFields": "false"})
+    requests = flights.select(F.concat(F.lit("year-"), F.substring("flight_date", 1, 4)).alias("request_id"),
+                              F.col("id").alias("sort"), record.alias("json"))
+    _write_pages(requests, "flights", FLIGHT_PAGE_LIMIT, root)
+
+
+# Fixed values of the time-text fixture (must equal the oracle SQL's): the suffixes a scheduled time ends with,
+# by order key; the fifth kind is no time, the sixth NULL. Orders of another remainder have no actual arrival.
+TIME_SUFFIXES = ["+00:00", "Z", "-06:00", ".5+00:00"]
+NO_TIME = "soon"
+NO_ACTUAL_MOD = 11
+
+
+def with_time_texts(flights: DataFrame, *columns: str) -> DataFrame:
+    """``flights`` with the texts of ``columns`` in all the forms a time may come in."""
+    kind = F.col("l_orderkey") % (len(TIME_SUFFIXES) + 2)
+
+    def text(name: str) -> Column:
+        out = F.when(kind == len(TIME_SUFFIXES), F.lit(NO_TIME))
+        for k, suffix in enumerate(TIME_SUFFIXES):
+            out = out.when(kind == k, F.concat(F.substring(name, 1, 19), F.lit(suffix)))
+        return out
+
+    return flights.withColumns({name: text(name) for name in columns})
+
+
 def land_airport_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
     airports = airports_raw(spark, sf_dir).select(
         F.substring("id", 1, 1).alias("request_id"), F.col("id").alias("sort"),

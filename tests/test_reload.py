@@ -131,3 +131,25 @@ def test_tree_nodes_of_a_fit(spark):
         assert tree[tree.node == 0].rows.iloc[0] == training.count()
         assert tree[tree.feature.isna()].rows.sum() == training.count()      # leaves share out the rows
         assert (tree.gain.dropna() > 0).all()
+
+
+def test_loaded_and_rejected_records_are_all_there_is(spark, tmp_dir):
+    root, store = f"{tmp_dir}/landing", _store(spark, tmp_dir)
+    write_page(root, "airports", "d1", "all", 900, 0, page(
+        [airport("HUBA", "Hub Airport", "Country H"), airport("FARB", "Far Airport", "Country F"), airport("EMPT", "E", "")], 3))
+    jobs.load_airports(spark, root, store, batch_id="d1")
+    records = [flight("HUBA", "FARB", code="ok"), flight("HUBA", "FARB", airline=None, code="no-airline"),
+               flight("HUBA", "FARB", airline="ABSENT", code="ok-too"), flight(departure=None, code="no-departure"),
+               flight("", "FARB", code="no-code"), flight("XXXX", "FARB", code="unknown"), flight("HUBA", "EMPT", code="empty"), "text", None]
+    write_page(root, "flights", "d1", "dep", 100, 0, page(records, len(records)))
+    result = jobs.load_flights(spark, root, store, batch_id="d1", rejects_table="rejected_flights")
+    assert result.counts == {"extracted": 9, "transformed": 2}
+    rejected = store.read("rejected_flights").collect()
+    assert {r.reject_reason for r in rejected if r.record and '"no-code"' in r.record} == {"departure code is missing"}
+    assert sorted(r.reject_reason for r in rejected) == sorted([
+        "airline is no object", "departure is no object", "departure code is missing", "departure airport is unknown",
+        "arrival airport is unknown", "record is no object", "record is no object"])
+    assert store.read("flights").count() == 2
+    plain = jobs.load_flights(spark, root, store, batch_id="d1", table="again")
+    assert plain.skipped
+    store.drop_database()
