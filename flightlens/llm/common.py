@@ -68,6 +68,11 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+#: Bytes of a batch that is handed to Python, unless the session sets its own bound: rows hold whole texts.
+_BATCH_BYTES = 4 << 20
+_BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def release_memory() -> None:
     """Give what a Python worker has freed back to the system: workers live on, and their neighbours need it."""
     gc.collect()
@@ -80,7 +85,10 @@ def release_memory() -> None:
 
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` with the package shipped to the workers, which give their memory back after each task."""
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_BYTES_CONF, None) is None:
+        spark.conf.set(_BATCH_BYTES_CONF, str(_BATCH_BYTES))
 
     def run(batches):
         try:
