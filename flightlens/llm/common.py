@@ -69,7 +69,7 @@ def ship(spark: SparkSession) -> None:
 
 
 #: Bytes of a batch that is handed to Python, unless the session sets its own bound: rows hold whole texts.
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 8 << 20
 _BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
