@@ -306,7 +306,15 @@ def land_scheduled_pull(spark: SparkSession, sf_dir: str, root: str, hub_country
         F.col("arrival_timezone").alias("timezone"), F.col("arrival_scheduled_time").alias("scheduled"))
     record = F.to_json(F.struct(F.col("flight_date"), F.struct(F.col("airline_name").alias("name")).alias("airline"),
                                 departure.alias("departure"), arrival.alias("arrival")))
-    requests = flights.select(F.lit(f"{hub_side}-{year}").alias("request_id"), F.col("id").alias("sort"), record.alias("json"))
+    request = f"{hub_side}-{year}"
+    requests = flights.select(F.lit(request).alias("request_id"), F.col("id").alias("sort"), record.alias("json"))
+    if requests.isEmpty():  # the API answers with one empty page
+        keys = {"dataset": F.lit("scheduled_flights"), "batch_id": F.lit(batch_id), "request_id": F.lit(request),
+                "limit": F.lit(FLIGHT_PAGE_LIMIT), "offset": F.lit(0)}
+        body = BROKEN_PAGE_BODY if broken else '{"pagination":{"total":0},"data":[]}'
+        (spark.range(1).select(F.lit(body).alias("value")).withColumns(keys)
+         .write.mode("append").partitionBy(*keys).text(root))
+        return
     _write_pages(requests, "scheduled_flights", FLIGHT_PAGE_LIMIT, root, batch_id, broken)
 
 
