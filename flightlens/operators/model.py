@@ -88,6 +88,9 @@ def feature_pipeline(include_delay_time: bool = True, encoding: str = ONEHOT) ->
     return Pipeline(stages=[indexer, encoder, assembler])
 
 
+_SETTINGS = "targets array<string>, include_delay_time boolean, encoding string"
+
+
 @dataclass
 class DelayModels:
     features: PipelineModel
@@ -101,6 +104,31 @@ class DelayModels:
         return {c: len(labels) for c, labels in zip(features.CATEGORICAL_COLUMNS, indexer.labelsArray)}
 
 
+def save_models(models: DelayModels, path: str) -> None:
+    """Keep fitted models in a folder: the feature stage, a regressor per target, and what they were fitted with.
+
+    Written by Spark ML's own writers, so any session that reaches the folder can score with them. The
+    settings come last: a folder without them is a save that did not finish, which ``read_models`` refuses.
+    """
+    path = path.rstrip("/")
+    models.features.write().overwrite().save(f"{path}/features")
+    for target, fitted in models.regressors.items():
+        fitted.write().overwrite().save(f"{path}/{target}")
+    settings = SparkSession.active().createDataFrame(
+        [(list(models.regressors), models.include_delay_time, models.encoding)], _SETTINGS)
+    settings.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+
+
+def read_models(spark: SparkSession, path: str) -> DelayModels:
+    """The models ``save_models`` kept in ``path``; they score as the fitted ones do, row by row."""
+    path = path.rstrip("/")
+    kept = spark.read.schema(_SETTINGS).json(f"{path}/settings").first()
+    if kept is None:
+        raise ValueError(f"no finished models in {path}")
+    regressors = {t: GBTRegressionModel.load(f"{path}/{t}") for t in kept["targets"]}
+    return DelayModels(PipelineModel.load(f"{path}/features"), regressors, kept["include_delay_time"], kept["encoding"])
+
+
 def _helper_columns() -> list[str]:
     cats = features.CATEGORICAL_COLUMNS
     return [index_col(c) for c in cats] + [encoded_col(c) for c in cats] + ["features"]

@@ -18,9 +18,10 @@ from ..operators import enrich, features, model, predict, store
 from ..operators.dims import broadcast_if_small
 from ..plans import dashboard as dash
 from ..plans import jobs
-from ..schemas import FLIGHTS, SCHEDULED_FLIGHTS
+from ..schemas import FLIGHTS, PAGE_FILES, SCHEDULED_FLIGHTS
 from ..session import apply_defaults, scratch_location
 from ..sources import landing, testbed
+from ..streaming import request_gate
 
 # Fixed values of the contract queries (the oracle SQL uses the same ones).
 HUB_COUNTRY = "NATION_7"
@@ -281,14 +282,64 @@ def complete_requests(spark, sf_dir):
     lineitem by a shuffle, so they are materialised once, as landed files are.
     """
     pages = testbed.api_pages(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    recs = landing.records(pages).withColumn(
-        "flight_code", F.try_variant_get(F.col("record"), "$.flight.icao", "string"))
+    return _request_records(landing.records(pages))
+
+
+def _request_records(recs: DataFrame) -> DataFrame:
+    recs = recs.withColumn("flight_code", F.try_variant_get(F.col("record"), "$.flight.icao", "string"))
     return landing.flight_fields(recs).select(
         "request_id", F.col("offset").alias("page_offset"), "pos", "record_id", "flight_code",
         "flight_date", "airline_name", "dep_icao", "arr_icao", "departure_scheduled_time",
         "delay_time")
 
 
+@query("streamed_requests")
+def streamed_requests(spark, sf_dir):
+    """The rows of ``complete_requests``, their requests found by the stream that keeps state per request.
+
+    The pages land in parts that hold the pages of a request apart; after each
+    part the stream is started again, goes on from its checkpoint, and stops.
+    """
+    root = scratch_location(spark, "page-parts")
+    for part in testbed.page_parts(spark, sf_dir):
+        part.write.mode("append").parquet(f"{root}/pages")
+        stream = spark.readStream.schema(PAGE_FILES).parquet(f"{root}/pages").select(
+            "*", F.col("_metadata.file_modification_time").alias(request_gate.LANDED_AT))
+        (request_gate.outcomes(stream).writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", f"{root}/state").start(f"{root}/outcomes").awaitTermination())
+    found = spark.read.parquet(f"{root}/outcomes").where(F.col("outcome") == request_gate.COMPLETE)
+    pages = spark.read.schema(PAGE_FILES).parquet(f"{root}/pages")
+    return _request_records(landing.records(pages, status=found))
+
+
+@query("requested_flights")
+def requested_flights(spark, sf_dir):
+    """Flights loaded from pages of all flights by the job's parameters, hub airports and status.
+
+    A flight from one hub to another is there twice.
+    """
+    root, tables = scratch_location(spark, "landing"), _fresh_store(spark)
+    testbed.land_airport_pages(spark, sf_dir, root)
+    testbed.land_yearly_pages(spark, sf_dir, root, every_status=True)
+    jobs.load_airports(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
+    jobs.load_flights(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID, hubs=testbed.HUB_CODES, status="landed")
+    return tables.read("flights").select(
+        "flight_date", "airline_name", "departure_country", "departure_scheduled_time", "departure_actual_time",
+        "arrival_country", "arrival_scheduled_time", "arrival_actual_time", "delay_time")
+
+
+@query("load_counts")
+def load_counts(spark, sf_dir):
+    """The counts the load jobs themselves report, observed in the pass that writes the tables."""
+    root, tables = scratch_location(spark, "landing"), _fresh_store(spark)
+    testbed.land_airport_pages(spark, sf_dir, root)
+    testbed.land_yearly_pages(spark, sf_dir, root)
+    loads = [jobs.load_airports(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID),
+             jobs.load_flights(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)]
+    return spark.createDataFrame([(load.table, stage, n) for load in loads for stage, n in load.counts.items()],
+                                 "table_name string, stage string, row_count long")
+
+
 # --- models -------------------------------------------------------------------
 
 def _landed_training(spark, sf_dir) -> DataFrame:
@@ -313,7 +364,7 @@ def landed_load(spark, sf_dir):
     testbed.land_hub_pages(spark, sf_dir, root, HUB_COUNTRY)
     jobs.load_airports(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
     jobs.load_flights(spark, root, tables, batch_id=testbed.LOAD_BATCH_ID)
-    return tables.read("flights").drop("id")
+    return tables.read("flights").drop("id", jobs.BATCH_PARTITION)
 
 
 @query("category_index")
@@ -419,6 +470,16 @@ def prediction_job(spark, sf_dir):
     return tables.read("scheduled_flights")
 
 
+@query("kept_models")
+def kept_models(spark, sf_dir):
+    """The departure fit of one split, kept in a folder, read again and scored on the scheduled flights."""
+    fitted = model.fit_delay_models(_landed_training(spark, sf_dir), targets=("departure",), include_delay_time=False, **STUMP)
+    folder = scratch_location(spark, "models")
+    model.save_models(fitted, folder)
+    scored = model.score(model.read_models(spark, folder), features.scoring_frame(testbed.scheduled_flights(spark, sf_dir)))
+    return scored.select("id", F.round(predict.DEPARTURE_PREDICTION, 6).alias(predict.DEPARTURE_PREDICTION))
+
+
 # --- table maintenance ----------------------------------------------------------
 
 # Fixed value: the scheduled flights are loaded as two daily pulls, split here.

@@ -9,6 +9,7 @@ result does not depend on the DuckDB session zone.
 
 from __future__ import annotations
 
+from ..sources.testbed import HUB_CODES
 from .contract import HUB_COUNTRY, LOOKUP_ICAO
 
 ADAPTER_SQL = """
@@ -186,6 +187,16 @@ _QUERIES = {
                a AS arrival_scheduled_time,
                (epoch(try_strptime(a, '%Y-%m-%d %H:%M:%S')) - 1771000000) / 10 AS arrival_scheduled_time_number
         FROM walls""",
+    "requested_flights": f"""
+        , hub AS (SELECT * FROM enriched WHERE status = 'F' AND l_linenumber NOT IN (5, 6))
+        SELECT flight_date, airline_name, departure_country, departure_scheduled_time, departure_actual_time,
+               arrival_country, arrival_scheduled_time, arrival_actual_time, delay_time
+        FROM (SELECT * FROM hub WHERE arr_icao IN {HUB_CODES}
+              UNION ALL SELECT * FROM hub WHERE dep_icao IN {HUB_CODES})""",
+    "load_counts": """
+        SELECT 'airports' AS table_name, 'loaded' AS stage, count(*) AS row_count FROM airports_raw
+        UNION ALL SELECT 'flights', 'extracted', count(*) FROM records WHERE status = 'F'
+        UNION ALL SELECT 'flights', 'transformed', count(*) FROM enriched WHERE status = 'F' AND l_linenumber NOT IN (5, 6)""",
     "rejected_rows": """
         SELECT request_id, flight_code, reject_reason FROM (
           SELECT 'year-' || substr(flight_date, 1, 4) AS request_id, r.id AS flight_code,
@@ -342,6 +353,10 @@ _QUERIES = {
     "reset_then_load": "SELECT * FROM scheduled WHERE flight_date >= '1998-01-01'",
 }
 
+# The same rows by another way: requests gated by the stream, models kept and read again.
+_QUERIES["streamed_requests"] = _QUERIES["complete_requests"]
+_QUERIES["kept_models"] = _QUERIES["gbt_stump_departure"]
+
 
 def oracle_sql() -> dict[str, str]:
     # A body starting with "," continues the adapter's WITH list.

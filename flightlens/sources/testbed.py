@@ -233,6 +233,18 @@ def api_pages(spark: SparkSession, sf_dir: str, status: str = LANDED) -> DataFra
         F.lit(PAGE_LIMIT).alias("limit"), F.col("offset")).to(PAGE_FILES)
 
 
+# The pages of the streamed-requests fixture land in this many parts, one after the other.
+PAGE_PARTS = 3
+
+
+def page_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """``api_pages`` dealt to parts by a hash of request and offset, so a request's pages land apart and in any order."""
+    checkpoint_dir(spark)
+    pages = api_pages(spark, sf_dir).withColumn(
+        "part", F.pmod(F.xxhash64("request_id", "offset"), F.lit(PAGE_PARTS))).checkpoint(eager=True)
+    return [pages.where(F.col("part") == n).drop("part") for n in range(PAGE_PARTS)]
+
+
 # Fixed values of the landed-load fixture (must equal the oracle SQL's): arrivals and departures of one
 # country are requested per year, in pages of 100 flights (900 airports). Records of one line number have an
 # empty departure code, of another a null airline; the first page of one request never lands.
@@ -244,6 +256,10 @@ NULL_AIRLINE_LINE = 6
 LOST_REQUEST = "dep-1993"
 
 
+# Hub airports of the request-parameter fixture (must equal the oracle SQL's): two depart, the others arrive.
+HUB_CODES = ("S1", "S2", "C1", "C2", "C4", "C5")
+
+
 def _numbered(records: DataFrame) -> DataFrame:
     """``records`` with ``place``: 0, 1, ... within each request in the order of ``sort``.
 
@@ -318,9 +334,14 @@ def land_scheduled_pull(spark: SparkSession, sf_dir: str, root: str, hub_country
     _write_pages(requests, "scheduled_flights", FLIGHT_PAGE_LIMIT, root, batch_id, broken)
 
 
-def land_yearly_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Page files of all landed flights, unknown airports included: a request for each year, with malformed records."""
-    flights = flight_records(spark, sf_dir).where(F.col("status") == LANDED)
+def land_yearly_pages(spark: SparkSession, sf_dir: str, root: str, every_status: bool = False) -> None:
+    """Page files of all landed flights, unknown airports included: a request for each year, with malformed records.
+
+    With ``every_status`` the scheduled flights are among them, as in a pull without request parameters.
+    """
+    flights = flight_records(spark, sf_dir)
+    if not every_status:
+        flights = flights.where(F.col("status") == LANDED)
     departure = F.struct(
         F.when(F.col("l_linenumber") == EMPTY_CODE_LINE, F.lit("")).otherwise(F.col("dep_icao")).alias("icao"),
         F.col("departure_scheduled_time").alias("scheduled"), F.col("departure_actual_time").alias("actual"),
@@ -329,7 +350,8 @@ def land_yearly_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
         F.col("arr_icao").alias("icao"), F.col("arrival_scheduled_time").alias("scheduled"),
         F.col("arrival_actual_time").alias("actual"))
     airline = F.when(F.col("l_linenumber") != NULL_AIRLINE_LINE, F.struct(F.col("airline_name").alias("name")))
-    record = F.to_json(F.struct(F.col("flight_date"), F.struct(F.col("id").alias("icao")).alias("flight"),
+    status = F.when(F.col("status") == LANDED, F.lit("landed")).otherwise(F.lit("scheduled"))
+    record = F.to_json(F.struct(F.col("flight_date"), status.alias("flight_status"), F.struct(F.col("id").alias("icao")).alias("flight"),
                                 airline.alias("airline"), departure.alias("departure"), arrival.alias("arrival")),
                        {"ignoreNullFields": "false"})
     requests = flights.select(F.concat(F.lit("year-"), F.substring("flight_date", 1, 4)).alias("request_id"),
