@@ -98,19 +98,22 @@ def outcomes(pages: DataFrame, give_up_after: str = "1 day",
 
 def page_stream(spark: SparkSession, landing_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The landed page files as a stream, with the time each landed."""
-    reader = spark.readStream.schema(PAGE_FILES).option("wholetext", "true")
+    reader = spark.readStream.schema(PAGE_FILES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return (reader.text(landing_root)
+    return (reader.text(landing_root, wholetext=True)
             .select("*", F.col("_metadata.file_modification_time").alias(LANDED_AT)))
 
 
-def _load(spark: SparkSession, landing_root: str, store: TableStore):
+def _load(spark: SparkSession, landing_root: str, store: TableStore, found_root: str):
     loaders = {"airports": jobs.load_airports, "flights": jobs.load_flights}
 
     def process(found: DataFrame, epoch_id: int) -> None:
-        checkpoint_dir(spark)
-        found = found.checkpoint(eager=True)
+        # A stream runs in a session of its own, whose table listings are apart from those of the caller's. So what
+        # it found is written, and loaded from there by the caller's session; a trigger run again writes the same.
+        place = f"{found_root}/{epoch_id}"
+        found.write.mode("overwrite").parquet(place)
+        found = spark.read.schema(_OUTPUT).parquet(place)
         done = found.where(F.col("outcome") == COMPLETE)
         # A row for each batch that has a request completed in this trigger.
         batches = done.select("dataset", "batch_id").distinct().collect()
@@ -147,7 +150,7 @@ def start(spark: SparkSession, landing_root: str, store: TableStore, checkpoint_
         F.col("dataset").isin("airports", "flights"))
     # A page of airports with a record that is no object fails its request; flights only lose the record.
     found = outcomes(pages, give_up_after, F.col("dataset") == "airports")
-    writer = (found.writeStream.foreachBatch(_load(spark, landing_root, store))
+    writer = (found.writeStream.foreachBatch(_load(spark, landing_root, store, f"{checkpoint_location.rstrip('/')}-found"))
               .outputMode("append").option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
