@@ -62,7 +62,10 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
     Beyond the limit the frame is hinted ``shuffle_hash``: both sides shuffle
     on the key, each task hashes its slice of this (smaller) side and streams
     the other without sorting it, and AQE splits a hot key (the hub airport)
-    on the large side into several tasks.
+    on the large side into several tasks. AQE only does so where both sides are
+    shuffled for the join, and a persisted frame that is already laid out by its
+    key is not; so this side is dealt anew first, which moves it once more but
+    lets the hot key of the far larger side be split.
     """
     limit = broadcast_max_bytes(df.sparkSession) if max_bytes is None else max_bytes
     if persist:
@@ -70,4 +73,4 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
     _, size = measured_bytes(df)
     if size <= limit:
         return F.broadcast(df), True
-    return df.hint("shuffle_hash"), False
+    return df.repartition(F.xxhash64(*df.columns)).hint("shuffle_hash"), False
