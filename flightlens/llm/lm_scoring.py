@@ -2,19 +2,27 @@
 
 Every token is predicted from the ``WINDOW`` tokens on either side of it, never
 from itself. The network adds position-wise projections of the neighbours'
-embeddings, applies tanh, and predicts the token in two steps, its class and
-then its place in the class (so a prediction costs the square root of the
-vocabulary). A document's score is the sum over its tokens of the conditional
-log-probabilities; ``mean_logprob`` divides by the number of tokens.
-
-Tokens are words (A-Z lower-cased). The vocabulary is counted over every word
-of every document; the most frequent words have an id each, all others share
-``RARE`` ids by a hash. Training passes once over every document: they are dealt into
+embeddings, applies tanh, and predicts the token's id in two steps, its class and
+then its place in the class (so a prediction costs the square root of the ids).
+The most frequent words have an id each. All others share ``RARE`` ids by a hash,
+and a third step predicts the word among those of its id by its share of their
+occurrences. So the probabilities of all words of the corpus add up to one, and
+a document's score, the sum over its tokens of the conditional log-probabilities,
+is one of words; ``mean_logprob`` divides by the number of tokens.
+
+Tokens are words (A-Z lower-cased). What is gathered grows with the corpus: the
+count of every word of every document is a table (``word_counts``), which meets
+the rare words of the documents in a join by the 64-bit hash of the word; a word
+outside the vocabulary holds less than one ``VOCABULARY``-th of the tokens, so no
+key of the join is hot. (Words of equal hash would count as one: among 10**9
+words some pair does with probability 0.03.)
+
+Training passes once over every document: they are dealt into
 ``ROUNDS`` rounds by a hash of their text; in a round every task runs
 mini-batch descent over its documents from the same start, and the round ends
 with the average of the tasks' weights, weighted by tokens. The weights of all
-tasks are summed by Spark into at most ``SUMS`` rows first; only these and the
-vocabulary (``VOCABULARY`` words) reach the driver.
+tasks are summed by Spark into at most ``SUMS`` rows first; only these, the
+vocabulary (``VOCABULARY`` words) and the totals of the shared ids reach the driver.
 
 Defined results: null and empty texts have no token, score 0 and a null mean;
 a single token is predicted from padding alone; repeated rows each give their
@@ -25,9 +33,12 @@ task, so repeated runs agree to rounding.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +56,10 @@ BATCH = 4096
 #: Weights stay within this, so that no logit overflows float32.
 _LIMIT = 4.0
 SEED = 7
-_SPLIT = r"[\x20\x09-\x0D]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Seed of the word hash: the one Spark's xxhash64 has.
+_HASH_SEED = 42
+#: Distinct words a task holds before it hands them on.
+_HELD_WORDS = 300_000
 _IDS = VOCABULARY + RARE
 _PER_CLASS = _IDS // CLASSES
 _PAD = _IDS
@@ -54,29 +67,82 @@ _ONES = np.ones(CLASSES, np.float32)
 assert CLASSES == _PER_CLASS
 
 
-def vocabulary(df: DataFrame, text_col: str = "text") -> list[str]:
-    """The most frequent words of the whole corpus; ties in order of the word."""
-    words = F.explode(F.split(F.translate(F.col(text_col), _UPPER, _LOWER), _SPLIT))
-    counts = df.select(words.alias("w")).where("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+def _tokens(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """w, n: every word of the whole corpus with its occurrences (stored)."""
+    def count(batches):
+        held = Counter()
+
+        def part():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())],
+                ["w", "n"])
+
+        for batch in slices(batches, 400):
+            for text in batch.column(0).to_pylist():
+                held.update(_tokens(text))
+                if len(held) > _HELD_WORDS:
+                    yield part()
+                    held.clear()
+        yield part()
+
+    texts = df.select(F.col(text_col).alias("text")).where("text is not null")
+    parts = map_arrow(texts, count, "w string, n long")
+    return stored(parts.groupBy("w").agg(F.sum("n").alias("n")), "lm-words")
+
+
+def vocabulary(counts: DataFrame) -> list[str]:
+    """The most frequent words; ties in order of the word."""
     return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()]
 
 
+def rare_shares(counts: DataFrame, words: list[str]) -> DataFrame:
+    """h, share: for the words without an id of their own the log of their part of the shared id's occurrences."""
+    fixed = counts.sparkSession.createDataFrame([(w,) for w in words], "w string")
+    rare = counts.join(F.broadcast(fixed), "w", "left_anti").select(F.xxhash64("w").alias("h"), "n")
+    shared = F.col("h").bitwiseAND(F.lit(RARE - 1))
+    totals = {r["id"]: r["n"] for r in rare.groupBy(shared.alias("id")).agg(F.sum("n").alias("n")).collect()}
+    total = F.array(*(F.lit(float(totals.get(i, 1))) for i in range(RARE)))
+    return (rare.groupBy("h").agg(F.sum("n").alias("n"))
+            .select("h", (F.log("n") - F.log(F.get(total, shared.cast("int")))).alias("share")))
+
+
 class Words:
-    """Word -> id; kept for the words of a task up to a bound."""
+    """Word -> place in ``ids`` and ``hashes``; kept for the words of a task up to a bound."""
 
     def __init__(self, vocabulary: list[str]):
-        self.fixed = {w.encode(): i for i, w in enumerate(vocabulary)}
-        self.known = dict(self.fixed)
+        self.vocabulary = [w.encode() for w in vocabulary]
+        self._restart()
+
+    def _restart(self) -> None:
+        self.known = {w: i for i, w in enumerate(self.vocabulary)}
+        self.ids = np.arange(2 * _HELD_WORDS, dtype=np.int64)
+        self.hashes = np.zeros(2 * _HELD_WORDS, np.int64)
 
-    def ids(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    def places(self, text: str | None) -> np.ndarray:
+        """Place of each word of the text; a place stays what it is until ``make_room``."""
+        words = _tokens(text)
         known = self.known
-        if len(known) > 300_000:
-            known = self.known = dict(self.fixed)
-        for w in set(words).difference(known):
-            known[w] = VOCABULARY + xxhash.xxh64_intdigest(w, SEED) % RARE
+        new = list(set(words).difference(known))
+        if new:
+            at = len(known)
+            end = at + len(new)
+            if end > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(end, np.int64)])
+                self.hashes = np.concatenate([self.hashes, np.zeros(end, np.int64)])
+            known.update(zip(new, range(at, end)))
+            hashes = np.array([xxhash.xxh64_intdigest(w, _HASH_SEED) for w in new], np.uint64).view(np.int64)
+            self.hashes[at:end] = hashes
+            self.ids[at:end] = VOCABULARY + (hashes & (RARE - 1))
         return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
+    def make_room(self) -> None:
+        if len(self.known) > _HELD_WORDS:
+            self._restart()
+
 
 class Network:
     """Weights and the mathematics of the window network."""
@@ -110,61 +176,77 @@ class Network:
             at += 4 * size
         return out
 
-    def _hidden(self, context: np.ndarray):
-        x = self.w["embed"][context].reshape(len(context), -1)
-        return x, np.tanh(x @ self.w["mix"] + self.w["bias"])
+    def _hidden(self, context: np.ndarray) -> np.ndarray:
+        mix = self.w["mix"].reshape(2 * WINDOW, WIDTH, WIDTH)
+        # Each position's projection is computed once for every id, then looked up.
+        total = self.w["bias"] + (self.w["embed"] @ mix[0])[context[:, 0]]
+        for k in range(1, 2 * WINDOW):
+            total += (self.w["embed"] @ mix[k])[context[:, k]]
+        return np.tanh(total, out=total)
 
     def logprobs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | context) of each row."""
         w = self.w
-        _, h = self._hidden(context)
-        kind, place = target % CLASSES, target // CLASSES
+        order, bounds = _by_class(target)
+        context, target = context[order], target[order]
+        h = self._hidden(context)
         z = h @ w["cls"] + w["cls_bias"]
-        out = z[np.arange(len(target)), kind] - np.log(np.exp(z) @ _ONES)
-        for c, at in _by_class(kind):
-            z = h[at] @ w["member"][c] + w["member_bias"][c]
-            out[at] += z[np.arange(len(at)), place[at]] - np.log(np.exp(z) @ _ONES)
-        return out.astype(np.float64)
+        found = z[np.arange(len(target)), target % CLASSES] - np.log(np.exp(z) @ _ONES)
+        place = target // CLASSES
+        for c, at, end in bounds:
+            z = h[at:end] @ w["member"][c] + w["member_bias"][c]
+            found[at:end] += z[np.arange(end - at), place[at:end]] - np.log(np.exp(z) @ _ONES)
+        out = np.empty(len(target))
+        out[order] = found
+        return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step of gradient ascent on the mean log-probability of a mini-batch."""
         w, n = self.w, len(target)
-        x, h = self._hidden(context)
-        kind, place = target % CLASSES, target // CLASSES
+        order, bounds = _by_class(target)
+        context, target = context[order], target[order]
+        h = self._hidden(context)
+        place = target // CLASSES
         p = np.exp(h @ w["cls"] + w["cls_bias"])
         p /= (p @ _ONES)[:, None]
-        p[np.arange(n), kind] -= 1
+        p[np.arange(n), target % CLASSES] -= 1
         back = p @ w["cls"].T
         grad_cls, grad_cls_bias = h.T @ p, p.sum(0)
-        for c, at in _by_class(kind):
-            q = np.exp(h[at] @ w["member"][c] + w["member_bias"][c])
+        for c, at, end in bounds:
+            q = np.exp(h[at:end] @ w["member"][c] + w["member_bias"][c])
             q /= (q @ _ONES)[:, None]
-            q[np.arange(len(at)), place[at]] -= 1
-            back[at] += q @ w["member"][c].T
-            step = rate / max(len(at), 32)
-            w["member"][c] -= step * (h[at].T @ q)
+            q[np.arange(end - at), place[at:end]] -= 1
+            back[at:end] += q @ w["member"][c].T
+            step = rate / max(end - at, 32)
+            w["member"][c] -= step * (h[at:end].T @ q)
             w["member_bias"][c] -= step * q.sum(0)
         back *= 1 - h * h
-        into = (back @ w["mix"].T).reshape(n * 2 * WINDOW, WIDTH)
-        w["mix"] -= rate / n * (x.T @ back)
+        # What flows back to each id at each position, then through that position's projection.
+        ids = _IDS + 1
+        flat = (context + np.arange(2 * WINDOW) * ids).T.ravel()
+        into = np.empty((2 * WINDOW * ids, WIDTH), np.float32)
+        for d in range(WIDTH):
+            into[:, d] = np.bincount(flat, np.tile(back[:, d], 2 * WINDOW), 2 * WINDOW * ids)
+        into = into.reshape(2 * WINDOW, ids, WIDTH)
+        seen = np.bincount(flat, minlength=2 * WINDOW * ids).reshape(2 * WINDOW, ids).sum(0)
+        mix = w["mix"].reshape(2 * WINDOW, WIDTH, WIDTH)
+        grad_embed = (into @ mix.transpose(0, 2, 1)).sum(0)
+        grad_mix = (w["embed"].T @ into).reshape(w["mix"].shape)
+        w["mix"] -= rate / n * grad_mix
         w["bias"] -= rate / n * back.sum(0)
         w["cls"] -= rate / n * grad_cls
         w["cls_bias"] -= rate / n * grad_cls_bias
-        flat = context.ravel()
-        seen = np.bincount(flat, minlength=_IDS + 1)
-        total = np.stack([np.bincount(flat, into[:, d], minlength=_IDS + 1) for d in range(WIDTH)], 1)
-        w["embed"] -= (rate * total / np.maximum(seen, 32)[:, None]).astype(np.float32)
+        w["embed"] -= (rate * grad_embed / np.maximum(seen, 32)[:, None]).astype(np.float32)
         for name in ("cls", "cls_bias", "member", "member_bias"):
             np.clip(w[name], -_LIMIT, _LIMIT, out=w[name])
 
 
-def _by_class(kind: np.ndarray):
-    """(class, rows of the class) for each class that has rows."""
+def _by_class(target: np.ndarray):
+    """Order of the rows by their target's class, and (class, first, end) of each class that has rows."""
+    kind = (target % CLASSES).astype(np.uint8)
     order = np.argsort(kind, kind="stable")
-    bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if bounds[c] < bounds[c + 1]:
-            yield c, order[bounds[c]:bounds[c + 1]]
+    ends = np.cumsum(np.bincount(kind, minlength=CLASSES)).tolist()
+    return order, [(c, at, end) for c, (at, end) in enumerate(zip([0, *ends], ends)) if at < end]
 
 
 def windows(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +282,9 @@ def train(df: DataFrame, words: list[str], text_col: str = "text") -> bytes:
         def run(batches, start=start, rate=rate):
             net, vocabulary, seen = Network.unpacked(start.value), Words(words), 0
             for batch in slices(batches, 400):
-                context, target = windows([vocabulary.ids(t) for t in batch.column(0).to_pylist()])
+                places = [vocabulary.places(t) for t in batch.column(0).to_pylist()]
+                context, target = windows([vocabulary.ids[p] for p in places])
+                vocabulary.make_room()
                 order = np.random.default_rng([SEED, seen]).permutation(len(target))
                 for at in range(0, len(order), BATCH):
                     part = order[at:at + BATCH]
@@ -221,32 +305,62 @@ def train(df: DataFrame, words: list[str], text_col: str = "text") -> bytes:
     return weights
 
 
-def score(df: DataFrame, words: list[str], weights: bytes, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum over the tokens), mean_logprob."""
+def _network_scores(df: DataFrame, words: list[str], weights: bytes) -> DataFrame:
+    """row (a number of its own), doc_id, n_tokens, ids (log-likelihood of the ids), and the rare words by hash."""
     held = df.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
         net, vocabulary = Network.unpacked(held.value), Words(words)
+        row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, 400):
-            documents = [vocabulary.ids(t) for t in batch.column(1).to_pylist()]
-            sizes = np.array([len(d) for d in documents])
-            context, target = windows(documents)
+            places = [vocabulary.places(t) for t in batch.column(1).to_pylist()]
+            sizes = np.array([len(p) for p in places])
+            context, target = windows([vocabulary.ids[p] for p in places])
             logs = np.concatenate([np.zeros(0), *(net.logprobs(context[at:at + 65536], target[at:at + 65536])
                                                   for at in range(0, len(target), 65536))])
             ends = np.cumsum(sizes)
             total = np.concatenate(([0.0], np.cumsum(logs)))
             sums = total[ends] - total[ends - sizes]
-            mean = [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist())]
+            # The words without an id of their own, once a document, with their occurrences there.
+            places = np.concatenate([np.zeros(0, np.int64), *places])
+            rare = places >= len(words)
+            width = len(vocabulary.ids)
+            pairs, times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[rare] * width + places[rare],
+                                     return_counts=True)
+            cuts = pa.array(np.searchsorted(pairs, np.arange(len(sizes) + 1) * width), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(sums), pa.array(mean, pa.float64())],
-                ["doc_id", "n_tokens", "log_likelihood", "mean_logprob"])
+                [pa.array(row + np.arange(len(sizes))), batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(sums),
+                 pa.ListArray.from_arrays(cuts, pa.array(vocabulary.hashes[pairs % width])),
+                 pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32)))],
+                ["row", "doc_id", "n_tokens", "ids", "rare", "times"])
+            row += len(sizes)
+            vocabulary.make_room()
+
+    return stored(map_arrow(df, run, "row long, doc_id long, n_tokens long, ids double, rare array<long>, times array<int>"),
+                  "lm-scores")
+
+
+def score(df: DataFrame, counts: DataFrame, words: list[str], weights: bytes, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, log_likelihood (sum over the tokens), mean_logprob.
 
+    ``counts`` are the words of a corpus that holds these texts (a rare word that
+    it lacks adds nothing to the score).
+    """
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_arrow(texts, run, "doc_id long, n_tokens long, log_likelihood double, mean_logprob double")
+    scored = _network_scores(texts, words, weights)
+    met = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("m"))
+    met = met.select("row", F.col("m.rare").alias("h"), F.col("m.times").alias("times"))
+    inside = (met.join(rare_shares(counts, words), "h")
+              .groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("inside")))
+    whole = F.col("ids") + F.coalesce("inside", F.lit(0.0))
+    return (scored.select("row", "doc_id", "n_tokens", "ids").join(inside, "row", "left")
+            .select("doc_id", "n_tokens", whole.alias("log_likelihood"),
+                    F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens")).alias("mean_logprob")))
 
 
 def report(df: DataFrame) -> DataFrame:
-    """Vocabulary, training and scores, all over the whole of ``df``."""
-    words = vocabulary(df)
-    return score(df, words, train(df, words))
+    """Word counts, training and scores, all over the whole of ``df``."""
+    counts = word_counts(df)
+    words = vocabulary(counts)
+    return score(df, counts, words, train(df, words))

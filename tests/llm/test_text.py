@@ -1,8 +1,11 @@
 """Text operators (ops 1, 3, 5, 8) by hand-made cases and brute force."""
 
+from collections import Counter
+
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 from flightlens.llm import html_text, language_id, lm_scoring, quality_rules
 from llm_fixtures import docs, table_dir  # noqa: F401
@@ -129,6 +132,77 @@ def test_scores_prefer_seen_order(docs):
     assert lm_scoring.report(docs([])).count() == 0
 
 
+def _plain_score(text, net, vocabulary, counts):
+    """Sum over the words of the log of id given neighbours, times the word's share of its id; loops and softmax only."""
+    w, ids = net.w, {v: i for i, v in enumerate(vocabulary)}
+    shared = {}
+    for word, n in counts.items():
+        if word not in ids:
+            at = lm_scoring.VOCABULARY + xxhash.xxh64_intdigest(word.encode(), 42) % lm_scoring.RARE
+            shared.setdefault(at, {})[word] = n
+    place = {**ids, **{word: at for at, group in shared.items() for word in group}}
+    words = [p.lower() if p.isascii() else p for p in text.split()]
+    total = 0.0
+    for i, word in enumerate(words):
+        near = [place[words[i + k]] if 0 <= i + k < len(words) else lm_scoring._PAD for k in (-2, -1, 1, 2)]
+        h = np.tanh(np.concatenate([w["embed"][c] for c in near]).astype(float) @ w["mix"] + w["bias"])
+        kind, spot = place[word] % lm_scoring.CLASSES, place[word] // lm_scoring.CLASSES
+        for z, pick in ((h @ w["cls"] + w["cls_bias"], kind), (h @ w["member"][kind] + w["member_bias"][kind], spot)):
+            total += float(z[pick] - np.log(np.exp(z).sum()))
+        if word not in ids:
+            group = shared[place[word]]
+            total += float(np.log(group[word] / sum(group.values())))
+    return total
+
+
+def test_scores_equal_plain_loops(spark, docs, monkeypatch):
+    """Whole scores with thousands of rare words, word tables handed on early, repeated rows, null and equal ids."""
+    rng = np.random.default_rng(5)
+    names = [f"W{i}" for i in range(900)] + [f"w\u00e9{i}" for i in range(1800)]
+    rows = [(i, " ".join(names[k] for k in (rng.pareto(0.7, rng.integers(1, 160)) * 300 % 2700).astype(int)))
+            for i in range(150)]
+    rows += [(7, rows[3][1]), (8, rows[8][1]), (None, "w1 only1\x0bhere w1"), (200, None), (201, " \n"), (202, "only1 " * 9000)]
+    monkeypatch.setattr(lm_scoring, "_HELD_WORDS", 700)
+    frame = docs(rows).repartition(3)
+    counts = lm_scoring.word_counts(frame)
+    plain = Counter(w.lower() if w.isascii() else w for _, t in rows for w in (t or "").split())
+    assert {r["w"]: r["n"] for r in counts.collect()} == plain
+    words = lm_scoring.vocabulary(counts)
+    assert words == sorted(plain, key=lambda w: (-plain[w], w.encode()))[:lm_scoring.VOCABULARY] and len(plain) > 1500
+    weights = lm_scoring.train(frame, words)
+    out = lm_scoring.score(frame, counts, words, weights).collect()
+    net = lm_scoring.Network.unpacked(weights)
+    wanted = sorted((i is None, i or 0, len((t or "").split()), _plain_score(t or "", net, words, plain)) for i, t in rows)
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], r["log_likelihood"]) for r in out)
+    assert [g[:3] for g in got] == [w[:3] for w in wanted]
+    assert np.allclose([g[3] for g in got], [w[3] for w in wanted], rtol=1e-4, atol=1e-3)
+    assert all(r["mean_logprob"] == (r["log_likelihood"] / r["n_tokens"] if r["n_tokens"] else None) for r in out)
+
+
+def test_word_places_outlive_a_full_table(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_HELD_WORDS", 10)
+    words = lm_scoring.Words(["a", "b"])
+    for turn in range(4):
+        text = "a " + " ".join(f"x{turn * 8 + k}" for k in range(30)) + " B x9"
+        places = words.places(text)
+        wanted = [xxhash.xxh64_intdigest(w.lower(), 42) for w in text.split()]
+        assert words.ids[places].tolist() == [
+            {"a": 0, "B": 1}.get(w, lm_scoring.VOCABULARY + h % lm_scoring.RARE) for w, h in zip(text.split(), wanted)]
+        assert [h % 2 ** 64 for h in words.hashes[places].tolist()][1:-2] == wanted[1:-2]
+        words.make_room()
+        assert len(words.known) == 2
+
+
+def test_shares_of_the_rare_words_sum_to_one(spark, docs):
+    counts = lm_scoring.word_counts(docs([(i, " ".join(f"v{k}" for k in range(i, 3000, 7))) for i in range(40)]))
+    shares = lm_scoring.rare_shares(counts, lm_scoring.vocabulary(counts)).collect()
+    groups = Counter()
+    for r in shares:
+        groups[r["h"] & (lm_scoring.RARE - 1)] += np.exp(r["share"])
+    assert len(shares) == counts.count() - lm_scoring.VOCABULARY
+    assert len(groups) == lm_scoring.RARE and np.allclose(list(groups.values()), 1)
+
+
 LONG = "This sentence stands for the article of the page and is long enough to be one. " * 3
 
 
