@@ -139,6 +139,26 @@ def test_packing_is_gapless_and_whole(docs):
     assert out.sequence_id.nunique() <= bound * 1.03
 
 
+def test_pieces_equal_the_library(texts, docs):
+    """piece, start, length and checksum of every piece as the tokenizers library gives them, cuts and repeated rows included."""
+    library = Tokenizer.from_file(WORDS)
+    rows = [*enumerate(texts[::5]), (7, texts[35]), (900, None), (901, ""), (902, texts[-2]), (902, "w " * 63), (902, "w " * 64)]
+    wanted = []
+    for doc, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        for piece, at in enumerate(range(0, len(ids), 64)):
+            part = np.array(ids[at:at + 64], "<u4")
+            wanted.append((doc, piece, at, len(part), zlib.crc32(part.tobytes())))
+    frame = docs(rows).repartition(4)
+    out = packing.pack_documents(frame, WORDS, end_id=1, capacity=64).collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == sorted(wanted)
+    held = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == held.get(r["sequence_id"], 0)
+        held[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(held.values()) <= 64
+
+
 def test_evolution_beats_best_fit():
     """Triplets that fill a bin exactly, where best fit decreasing wastes bins."""
     rng = np.random.default_rng(8)
