@@ -203,6 +203,9 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
             .drop("before", "within"))
 
 
+#: Bytes of code files that a task reads.
+_READ_BYTES = 16 << 20
+
 def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """Documents from the files: doc_id, start, n_tokens, ids_crc32 (and with ``with_ids`` the ids)."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
@@ -230,7 +233,9 @@ def read(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     segments = manifest(spark, folder).select("file", "at", "bytes", "start")
-    return map_arrow(segments.repartition("file", "at"), run, schema)
+    # By what the segments hold: a manifest row is small, so AQE would leave all of them to a few tasks.
+    held = segments.agg(F.sum("bytes")).first()[0] or 0
+    return map_arrow(segments.repartition(1 + held // _READ_BYTES, "file", "at"), run, schema)
 
 
 def token_at(spark: SparkSession, folder: str, place: int) -> int:
