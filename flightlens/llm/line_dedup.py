@@ -22,9 +22,10 @@ earlier one (by document id, then line number) is removed.
   whose parity differs least (in a group of over ``LARGE_GROUP`` lines: of the
   group's first ones). The nearest of a line's candidates is verified first, the
   others if that one is too far. Where more candidates are possible (further
-  ones, large groups, other salts), lines that are unmatched so far go on: many
-  meet once more among themselves, and what is left is joined with every earlier
-  line of its words. So no match is lost and no group is paired out.
+  ones, large groups, other salts), lines that are unmatched so far go on: they
+  meet once more among themselves, and all that this leaves unmatched are joined with
+  every earlier line of their words, matched ones included. So no match is lost and no
+  group is paired out.
 
 Words are compared by 64-bit hashes. Lines of one to three words can only
 match equal sets. Lines without a word are never removed.
@@ -50,7 +51,7 @@ from flightlens.llm.common import map_arrow, slices, stored
 RARITY_BUCKETS = 1 << 22
 FIRSTS = 4
 LARGE_GROUP = 512
-#: Unmatched lines from which they first meet among themselves.
+#: No longer read: unmatched lines meet once more among themselves whatever their number.
 MEET_AGAIN = 1_000_000
 #: Occurrences of a word (beyond eight times the mean of the hash buckets) for each salt of its postings.
 ROWS_PER_SALT = 500_000
@@ -458,7 +459,8 @@ def removed_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     postings = filled.select("doc", "line", "n", "sig", "sig2", F.inline(prefix)).select(*POSTING)
 
     rest, near, rows = [], [], postings
-    while True:
+    unsalted = F.col("word").bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).alias("word")
+    for again in (False, True):
         dealt = rows.repartition("word").sortWithinPartitions("word")
         met = stored(map_arrow(dealt, partial(_meet, firsts=FIRSTS, large_group=LARGE_GROUP, together=_ROWS),
                                f"{_POSTING_TYPES}, doc2 long, line2 int, differing int"), "line-candidates")
@@ -468,11 +470,10 @@ def removed_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         near.append(_verified(best, df, id_col, text_col))
         rest.append(pairs.select(*PAIR).join(near[-1], ["doc", "line"], "left_anti").select(*PAIR)
                     .join(best, PAIR, "left_anti"))
-        unsalted = F.col("word").bitwiseAND(F.lit((1 << _WORD_BITS) - 1)).alias("word")
-        rows = stored(met.where("doc2 is null").join(near[-1], ["doc", "line"], "left_anti")
-                      .select(unsalted, *POSTING[1:]), "line-open")
-        if len(near) == 2 or rows.count() < MEET_AGAIN:
-            break
+        # The second time only open lines meet: one that meets few of them may still match an earlier line that is
+        # not open. So all that were open before stay so until they are matched.
+        still = rows if again else met.where("doc2 is null").select(unsalted, *POSTING[1:])
+        rows = stored(still.join(near[-1], ["doc", "line"], "left_anti").select(*POSTING), "line-open")
 
     # What is still open meets every earlier line of its words; a map of the words spares the others the shuffle.
     words = spark.sparkContext.broadcast(_marks(

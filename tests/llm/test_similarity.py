@@ -140,6 +140,19 @@ def test_line_dedup_with_salted_words(docs, monkeypatch, firsts, large, again, s
     assert got == plain_removed(rows)
 
 
+def test_line_whose_only_match_is_matched_itself(docs, monkeypatch):
+    """A third line is near a second one only, which goes in the first round: the rounds after must not lose the third."""
+    monkeypatch.setattr(line_dedup, "ROWS_PER_SALT", 1)
+    monkeypatch.setattr(line_dedup, "MEET_AGAIN", 0)
+    rows = []
+    for k in range(40):
+        words = [f"f{k}w{i}" for i in range(20)]
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(words[:16])), (3 * k + 2, " ".join(words[:13]))]
+    want = plain_removed(rows)
+    assert len(want) == 80
+    assert {(r["doc"], r["line"]) for r in line_dedup.removed_lines(docs(rows)).collect()} == want
+
+
 def test_embedding_recall_and_links(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 64)  # several tiles per bucket
     rng = np.random.default_rng(5)
