@@ -14,10 +14,10 @@ whatever the size of the corpus or of the labelled sample.
 Base rules come first: too few words, or too many words in repeated three-word
 windows, fail a document.
 
-The raw counts cover every word of every document. The target is fitted on at
-most about ``TRUSTED_DOCUMENTS`` labelled documents, drawn by a hash of their
-id; ids with any bad or toxic label are not trusted. Three-word windows are
-screened by hashes and compared word by word where hashes repeat.
+The raw counts cover every word of every document, and every trusted document
+either fits the target or calibrates the threshold; ids with any bad or toxic
+label are not trusted. Three-word windows are screened by hashes and compared
+word by word where hashes repeat.
 
 Defined results: a null or empty text has no words and fails the base rules;
 without trusted documents to fit and to calibrate only base rules reject;
@@ -27,12 +27,14 @@ row; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightlens.llm.common import stored
+from flightlens.operators.dims import broadcast_if_small
+
 BUCKETS = 16384
+#: Trusted documents up to which ``ORACLE_SQL`` takes all of them, as the operator does at any size; above, it draws.
 TRUSTED_DOCUMENTS = 20_000
 #: Quantile of the calibrating scores, and millionths of a nat per n-gram that a document may fall below it.
 QUANTILE = 0.001
@@ -58,7 +60,7 @@ def _pair_bucket(first: str, second: str) -> str:
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Ids of documents whose labels are all good and never toxic: a bounded draw, one row each.
+    """Ids of documents whose labels are all good and never toxic, one row each.
 
     ``id`` and ``fits``: true for the half that the target is fitted on, false for the half that calibrates.
     """
@@ -66,20 +68,19 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
             .groupBy(F.col(id_col).alias("id"))
             .agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
             .where("q = 1 and t = 0"))
-    share = min(1.0, TRUSTED_DOCUMENTS / max(1, good.count()))
     draw = F.pmod(F.col("id").cast("long") * _DRAW, F.lit(1 << 32))
     fits = F.floor(draw / (1 << 16)) % 2 == 0
-    return good.where(draw < int(share * (1 << 32))).select("id", fits.alias("fits"))
+    return good.select("id", fits.alias("fits"))
 
 
 def weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """ln(target share) - ln(raw share) of each bucket in millionths; ``2 * BUCKETS`` numbers.
 
-    One pass over the documents; the trusted ids (bounded) are broadcast, the
-    shuffle moves one partial count per bucket and task.
+    One pass over the documents; the trusted ids are broadcast where they are
+    small (measured), the shuffle moves one partial count per bucket and task.
     """
     words = docs.select(F.col(id_col).alias("id"), _words(F.col(text_col)).alias("w"))
-    good = F.broadcast(trusted_ids(labels).where("fits").select("id", F.lit(1).alias("good")))
+    good, _ = broadcast_if_small(trusted_ids(labels).where("fits").select("id", F.lit(1).alias("good")), persist=False)
     marked = words.join(good, "id", "left")
     # Each word with its successor as a row: what follows is generated code, without an array per document.
     pairs = marked.select("good", F.explode(F.expr("arrays_zip(w, slice(w, 2, greatest(size(w) - 1, 0)))")).alias("p"))
@@ -102,12 +103,28 @@ def weights(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def threshold(docs: DataFrame, labels: DataFrame, weight: list[int], id_col: str = "doc_id",
               text_col: str = "text") -> int | None:
-    """Lowest accepted score in millionths; None where nothing calibrates it (at most half the draw is scored)."""
-    ids = F.broadcast(trusted_ids(labels).where("not fits").select("id"))
+    """Lowest accepted score in millionths; None where nothing calibrates it. Scores the documents that calibrate."""
+    ids, _ = broadcast_if_small(trusted_ids(labels).where("not fits").select("id"), persist=False)
     held = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    rows = judge(held, weight, None, ["id"]).select("base_failed", "total", "n_grams").collect()
-    scores = sorted(math.floor(r["total"] / r["n_grams"]) for r in rows if not r["base_failed"])
-    return scores[int(QUANTILE * len(scores))] - MARGIN if scores else None
+    return _least(judge(held, weight, None, ["id"]))
+
+
+def _least(scored: DataFrame) -> int | None:
+    """``MARGIN`` below the ``QUANTILE`` of the scores (rounded down) of judged rows that pass the base rules."""
+    score = F.floor(F.col("total") / F.greatest(F.col("n_grams"), F.lit(1)))
+    counts = stored(scored.where("not base_failed").groupBy(score.alias("score")).agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("range", F.floor(F.col("score") / 1000)), "trusted-scores")
+    # A score is a mean of logarithms of shares, so there are at most some ten thousand ranges of a thousand scores.
+    ranges = sorted(map(tuple, counts.groupBy("range").agg(F.sum("n")).collect()))
+    left = int(QUANTILE * sum(n for _, n in ranges))
+    for at, n in ranges:
+        if left < n:
+            for score, m in sorted(map(tuple, counts.where(F.col("range") == at).select("score", "n").collect())):
+                if left < m:
+                    return score - MARGIN
+                left -= m
+        left -= n
+    return None
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -179,8 +196,17 @@ def judge(docs: DataFrame, weight: list[int], least: int | None, keep: list[str]
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id with the base measures, base_failed and kept."""
-    return judge(docs, *fit(docs, labels), ["doc_id"]).drop("total", "n_grams")
+    """doc_id with the base measures, base_failed and kept.
+
+    Every document is scored once: the threshold is taken from the stored scores of those that calibrate it.
+    """
+    judged = stored(judge(docs, weights(docs, labels), None, ["doc_id"]), "quality-judged")
+    ids, _ = broadcast_if_small(trusted_ids(labels).where("not fits").select(F.col("id").alias("doc_id")), persist=False)
+    least = _least(judged.join(ids, "doc_id", "left_semi"))
+    if least is not None:
+        high = F.col("total") >= F.lit(least).cast("long") * F.col("n_grams")
+        judged = judged.withColumn("kept", F.col("kept") & high)
+    return judged.drop("total", "n_grams")
 
 
 #: The same rows in DuckDB: crc32 byte by byte from its definition, windows as word lists.

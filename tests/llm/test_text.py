@@ -81,6 +81,18 @@ def test_quality_without_labels_or_rows(spark, docs):
     assert quality_rules.report(docs([]), labels).count() == 0
 
 
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than the number from which a draw was taken: all fit or calibrate."""
+    labels = spark.range(25_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    ids = quality_rules.trusted_ids(labels)
+    assert ids.count() == 25_000
+    assert 0.4 < ids.where("fits").count() / 25_000 < 0.6
+    scored = spark.range(12_345).selectExpr("id * 7919 % 12345 * 3001 - 9000000 as total", "2L as n_grams", "id % 10 = 0 as base_failed")
+    plain = sorted(r.total // 2 for r in scored.where("not base_failed").collect())
+    assert quality_rules._least(scored) == plain[int(quality_rules.QUANTILE * len(plain))] - quality_rules.MARGIN
+    assert quality_rules._least(scored.limit(0)) is None
+
+
 def test_language_accuracy_on_held_out(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language_id.report(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
