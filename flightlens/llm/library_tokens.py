@@ -12,13 +12,19 @@ import numpy as np
 from flightlens.llm.chunks import ChunkCodes, words
 
 
-@lru_cache(maxsize=4)
-def _codes(path: str, drops_white_space: bool) -> ChunkCodes:
+def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=4)
+def _codes(path: str, drops_white_space: bool) -> tuple[ChunkCodes, list[str]]:
+    """The codes of chunks, and the strings of the special tokens (the library matches them in the raw text)."""
+    tokenizer = _tokenizer(path)
     tokenizer.encode_special_tokens = True  # no chunk holds one that is to be a token
+    specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     word = tokenizer.model.tokenize
     little = sys.byteorder == "little"
@@ -45,17 +51,13 @@ def _codes(path: str, drops_white_space: bool) -> ChunkCodes:
                 out[i] = packed(e.ids)
         return out
 
-    return ChunkCodes(encode)
+    return ChunkCodes(encode), specials
 
 
 @lru_cache(maxsize=4)
 def _with_specials(path: str):
-    """The library as it is, and the strings of its special tokens (they are matched in the raw text)."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    """The library as it is; a second vocabulary in memory, so only made where a text holds a special token."""
+    return _tokenizer(path)
 
 
 def ids_bytes(texts: list[str], path: str, drops_white_space: bool, specials: bool = False) -> list[bytes]:
@@ -70,10 +72,10 @@ def ids_bytes(texts: list[str], path: str, drops_white_space: bool, specials: bo
     encoded whole. Else it is ordinary text.
     """
     out = {}
+    chunk_codes, strings = _codes(path, drops_white_space)
     if specials:
-        tokenizer, strings = _with_specials(path)
-        out = {i: np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        out = {i: np.array(_with_specials(path).encode(t, add_special_tokens=False).ids, "<u4").tobytes()
                for i, t in enumerate(texts) if any(s in t for s in strings)}
     plain = [t for i, t in enumerate(texts) if i not in out] if out else texts
-    codes = iter(_codes(path, drops_white_space).codes(plain, words if drops_white_space else None))
+    codes = iter(chunk_codes.codes(plain, words if drops_white_space else None))
     return [out[i] if i in out else next(codes) for i in range(len(texts))]
