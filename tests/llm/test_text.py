@@ -74,6 +74,15 @@ def test_quality_equals_sql(spark, docs, table_dir):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
 
 
+def test_filter_on_the_base_verdict_does_not_copy_the_measures(spark, docs):
+    rows = docs([(1, " ".join(f"w{i}" for i in range(60))), (2, "few words")])
+    judged = quality_rules.judge(rows, [0] * 2 * quality_rules.BUCKETS, None, ["doc_id"]).where("not base_failed")
+    plan = judged.select("total")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") == 1
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert len(quality_rules.fit(rows, labels)[0]) == 2 * quality_rules.BUCKETS
+
+
 def test_quality_without_labels_or_rows(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = quality_rules.report(docs([(1, " ".join(f"w{i}" for i in range(60))), (2, "few words")]), labels).collect()
