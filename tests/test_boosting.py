@@ -6,7 +6,11 @@ import pytest
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from flightlens import session
 from flightlens.operators import boosting, features, model, predict
+from flightlens.plans import contract
+from flightlens.sources import testbed
 
 SCHEMA = ("id long, airline_name string, departure_airport string, arrival_airport string, departure_country string, "
           "arrival_country string, delay_time int, scheduled_hour int, scheduled_day_of_week int, scheduled_month int, "
@@ -73,3 +77,22 @@ def test_rows_that_cannot_train_or_score(spark, rows):
     gone = rows.withColumn("scheduled_hour", F.when(F.col("id") > 4, F.col("scheduled_hour")))
     scored = model.score(same, gone)
     assert scored.count() == 895 and scored.select(predict.ARRIVAL_PREDICTION).distinct().count() == 1
+
+
+def test_rows_are_written_once_without_a_join(spark, rows, monkeypatch):
+    """No list of categories is joined (or sent to the driver) for the blocks; rows that lack a number count in sizes."""
+    plans = []
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.stored(df, name)
+
+    monkeypatch.setattr(boosting, "stored", stored)
+    monkeypatch.setattr(boosting, "FREQUENT", 30)
+    gone = rows.withColumn("scheduled_hour", F.when(F.col("id") > 400, F.col("scheduled_hour")))
+    plan_rows = spark.createDataFrame(gone.collect(), gone.schema)
+    fitted = model.fit_delay_models(plan_rows, targets=("arrival",), max_iter=1, max_depth=2)
+    assert len(plans) == 1 and "Join" not in plans[0]
+    want = plan_rows.agg(*[F.count_distinct(c) for c in features.CATEGORICAL_COLUMNS]).first()
+    assert list(fitted.category_sizes().values()) == list(want)
+    assert fitted.regressors["arrival"].trees[0][0].rows == 499
