@@ -96,3 +96,17 @@ def test_rows_are_written_once_without_a_join(spark, rows, monkeypatch):
     want = plan_rows.agg(*[F.count_distinct(c) for c in features.CATEGORICAL_COLUMNS]).first()
     assert list(fitted.category_sizes().values()) == list(want)
     assert fitted.regressors["arrival"].trees[0][0].rows == 499
+
+
+def test_arrival_stump_reads_its_flights_once(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+
+    flights = testbed.landed_flights(spark, SF_SMALL).withColumn("airline_name", counted("airline_name"))
+    monkeypatch.setattr(contract.testbed, "landed_flights", lambda *_: flights)
+    assert contract.registry()["gbt_stump_arrival"](spark, SF_SMALL).count() > 0
+    assert read.value == testbed.enriched_flights(spark, SF_SMALL).where("status = 'F'").count()
