@@ -49,24 +49,29 @@ class ChunkCodes:
             parts = [p if odd.isdisjoint(p) else _pieces(t) for t, p in zip(texts, parts)]
             wanted = set().union(*parts)
             missing = list(wanted.difference(self.cache))
-        known = self.cache
+        known, passing, anew = self.cache, {}, False
         if missing:
-            fresh = dict(zip(missing, self.encode(missing)))
             anew = len(known) >= self.limit and 4 * len(missing) > 3 * len(wanted)
             seen = self.seen
-            for chunk, code in fresh.items():
+            for chunk, code in zip(missing, self.encode(missing)):
                 place = hash(chunk) & (_SEEN - 1)
                 if not seen[place]:
                     seen[place] = 1
+                    passing[chunk] = code
                 elif len(known) < self.limit and len(chunk) <= 48:
                     known[chunk] = code
-            served = known
-            known = {**{chunk: known[chunk] for chunk in wanted if chunk in known}, **fresh}
-            if anew:
-                served.clear()
-                self.seen = bytearray(_SEEN)
+                else:
+                    passing[chunk] = code
+            known.update(passing)
         code = known.__getitem__
-        return [b"".join(map(code, part)) for part in parts]
+        out = [b"".join(map(code, part)) for part in parts]
+        if anew:
+            known.clear()
+            self.seen = bytearray(_SEEN)
+        else:
+            for chunk in passing:
+                del known[chunk]
+        return out
 
     def _odd(self, missing: list[str]) -> set[str]:
         """Chunks of plain cuts that hold white space other than a leading blank or a single line feed.

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from flightlens.llm import byte_bpe, packing, token_codes
+from flightlens.llm import byte_bpe, library_tokens, packing, token_codes
 from flightlens.llm.common import shared_folder
 from flightlens.llm.library_tokens import ids_bytes
 from llm_fixtures import docs  # noqa: F401
@@ -66,6 +66,39 @@ def test_special_tokens_as_by_the_library(texts, path, drops):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path,drops", [(BYTES, False), (WORDS, True)])
+def test_words_and_their_marks_skip_the_library_pattern(path, drops, monkeypatch):
+    """A word that marks follow is put together from codes of its own, not matched again (each costs most of a task)."""
+    made, matched = library_tokens._tokenizer, []
+
+    class Counting:
+        def __init__(self, inner):
+            self.__dict__["inner"] = inner
+
+        def __getattr__(self, name):
+            if name == "encode_batch_fast":
+                return lambda texts, **kw: matched.extend(texts) or self.inner.encode_batch_fast(texts, **kw)
+            return getattr(self.inner, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.inner, name, value)
+
+    monkeypatch.setattr(library_tokens, "_tokenizer", lambda p: Counting(made(p)))
+    codes, _ = library_tokens._codes.__wrapped__(path, drops)
+    words = ["Qwertzo", "zoblifant", "THE", "x", *(f"{a}{b}rin" for a in "abcdefghij" for b in "klmnopqrst")]
+    text = " ".join(w + m for m in ("", ",", ".", "...", "?!", "<|", '")', "_") for w in words)
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    expected = tokenizer.encode(text, add_special_tokens=False).ids
+    for _ in range(3):  # first sight, second sight, from the cache
+        assert np.frombuffer(codes.codes([text], library_tokens.words if drops else None)[0], "<u4").tolist() == expected
+    assert not matched
+    assert len(codes.cache) <= len(words) * 8
+    odd = "don't, it's. a1, 7,8 caf\u00e9, \u0130x. -x, 'y' (zoblifant) " + text
+    assert (np.frombuffer(codes.codes([odd], library_tokens.words if drops else None)[0], "<u4").tolist()
+            == tokenizer.encode(odd, add_special_tokens=False).ids)
+
+
 def test_code_files_hold_special_tokens(spark, docs):
     folder = shared_folder(spark, "codes-test")
     token_codes.write(docs([(1, "see <|endoftext|> here")]), BYTES, 2, folder)
