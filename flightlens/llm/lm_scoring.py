@@ -33,10 +33,9 @@ task, so repeated runs agree to rounding.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -53,12 +52,16 @@ ROUNDS = 3
 SUMS = 32
 RATE = 2.0
 BATCH = 4096
+#: Tokens scored together: their logits fit a core's cache.
+_SCORED = 16_384
 #: Weights stay within this, so that no logit overflows float32.
 _LIMIT = 4.0
 SEED = 7
 #: Seed of the word hash: the one Spark's xxhash64 has.
 _HASH_SEED = 42
-#: Distinct words a task holds before it hands them on.
+#: Words a task counts together before it hands the counts on.
+_COUNTED_WORDS = 2_000_000
+#: Distinct words a task knows by heart before it starts anew.
 _HELD_WORDS = 300_000
 _IDS = VOCABULARY + RARE
 _PER_CLASS = _IDS // CLASSES
@@ -67,26 +70,29 @@ _ONES = np.ones(CLASSES, np.float32)
 assert CLASSES == _PER_CLASS
 
 
-def _tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts (A-Z lower-cased), one text after the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, sizes = lists.flatten(), lists.value_lengths().to_numpy()
+    filled = pc.greater(pc.binary_length(flat), 0)  # white space at an end of a text leaves an empty one
+    ends = np.concatenate(([0], np.cumsum(filled.to_numpy(zero_copy_only=False))))[np.cumsum(sizes)]
+    return flat.filter(filled), np.diff(ends, prepend=0)
 
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """w, n: every word of the whole corpus with its occurrences (stored)."""
     def count(batches):
-        held = Counter()
+        held: list[pa.Array] = []
 
         def part():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())],
-                ["w", "n"])
+            found = pa.chunked_array(held, pa.string()).value_counts()
+            held.clear()
+            return pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["w", "n"])
 
         for batch in slices(batches, 400):
-            for text in batch.column(0).to_pylist():
-                held.update(_tokens(text))
-                if len(held) > _HELD_WORDS:
-                    yield part()
-                    held.clear()
+            held.append(_split(batch.column(0))[0])
+            if sum(map(len, held)) > _COUNTED_WORDS:
+                yield part()
         yield part()
 
     texts = df.select(F.col(text_col).alias("text")).where("text is not null")
@@ -110,6 +116,12 @@ def rare_shares(counts: DataFrame, words: list[str]) -> DataFrame:
             .select("h", (F.log("n") - F.log(F.get(total, shared.cast("int")))).alias("share")))
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """An array of words as bytes; they hold no blank, so one text of all is cut (an object for each value costs far more)."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")
+    return joined.cast(pa.binary())[0].as_py().split()
+
+
 class Words:
     """Word -> place in ``ids`` and ``hashes``; kept for the words of a task up to a bound."""
 
@@ -123,21 +135,29 @@ class Words:
         self.hashes = np.zeros(2 * _HELD_WORDS, np.int64)
 
     def places(self, text: str | None) -> np.ndarray:
-        """Place of each word of the text; a place stays what it is until ``make_room``."""
-        words = _tokens(text)
+        return self.places_of(pa.array([text], pa.string()))[0]
+
+    def places_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word of the texts, one text after the other, and how many words each text has.
+
+        A place stays what it is until ``make_room``.
+        """
+        flat, sizes = _split(texts)
+        coded = flat.dictionary_encode()
+        words = _listed(coded.dictionary)
         known = self.known
-        new = list(set(words).difference(known))
+        new = [w for w in words if w not in known]
         if new:
-            at = len(known)
-            end = at + len(new)
+            begin = len(known)
+            end = begin + len(new)
             if end > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(end, np.int64)])
                 self.hashes = np.concatenate([self.hashes, np.zeros(end, np.int64)])
-            known.update(zip(new, range(at, end)))
+            known.update(zip(new, range(begin, end)))
             hashes = np.array([xxhash.xxh64_intdigest(w, _HASH_SEED) for w in new], np.uint64).view(np.int64)
-            self.hashes[at:end] = hashes
-            self.ids[at:end] = VOCABULARY + (hashes & (RARE - 1))
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            self.hashes[begin:end] = hashes
+            self.ids[begin:end] = VOCABULARY + (hashes & (RARE - 1))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()], sizes
 
     def make_room(self) -> None:
         if len(self.known) > _HELD_WORDS:
@@ -179,9 +199,9 @@ class Network:
     def _hidden(self, context: np.ndarray) -> np.ndarray:
         mix = self.w["mix"].reshape(2 * WINDOW, WIDTH, WIDTH)
         # Each position's projection is computed once for every id, then looked up.
-        total = self.w["bias"] + (self.w["embed"] @ mix[0])[context[:, 0]]
+        total = self.w["bias"] + (self.w["embed"] @ mix[0]).take(context[:, 0], 0)
         for k in range(1, 2 * WINDOW):
-            total += (self.w["embed"] @ mix[k])[context[:, k]]
+            total += (self.w["embed"] @ mix[k]).take(context[:, k], 0)
         return np.tanh(total, out=total)
 
     def logprobs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -225,8 +245,8 @@ class Network:
         ids = _IDS + 1
         flat = (context + np.arange(2 * WINDOW) * ids).T.ravel()
         into = np.empty((2 * WINDOW * ids, WIDTH), np.float32)
-        for d in range(WIDTH):
-            into[:, d] = np.bincount(flat, np.tile(back[:, d], 2 * WINDOW), 2 * WINDOW * ids)
+        for d, column in enumerate(np.ascontiguousarray(back.T, np.float64)):
+            into[:, d] = np.bincount(flat, np.concatenate((column,) * (2 * WINDOW)), 2 * WINDOW * ids)
         into = into.reshape(2 * WINDOW, ids, WIDTH)
         seen = np.bincount(flat, minlength=2 * WINDOW * ids).reshape(2 * WINDOW, ids).sum(0)
         mix = w["mix"].reshape(2 * WINDOW, WIDTH, WIDTH)
@@ -282,8 +302,8 @@ def train(df: DataFrame, words: list[str], text_col: str = "text") -> bytes:
         def run(batches, start=start, rate=rate):
             net, vocabulary, seen = Network.unpacked(start.value), Words(words), 0
             for batch in slices(batches, 400):
-                places = [vocabulary.places(t) for t in batch.column(0).to_pylist()]
-                context, target = windows([vocabulary.ids[p] for p in places])
+                places, sizes = vocabulary.places_of(batch.column(0))
+                context, target = windows(np.split(vocabulary.ids[places], np.cumsum(sizes)[:-1]))
                 vocabulary.make_room()
                 order = np.random.default_rng([SEED, seen]).permutation(len(target))
                 for at in range(0, len(order), BATCH):
@@ -313,16 +333,14 @@ def _network_scores(df: DataFrame, words: list[str], weights: bytes) -> DataFram
         net, vocabulary = Network.unpacked(held.value), Words(words)
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, 400):
-            places = [vocabulary.places(t) for t in batch.column(1).to_pylist()]
-            sizes = np.array([len(p) for p in places])
-            context, target = windows([vocabulary.ids[p] for p in places])
-            logs = np.concatenate([np.zeros(0), *(net.logprobs(context[at:at + 65536], target[at:at + 65536])
-                                                  for at in range(0, len(target), 65536))])
+            places, sizes = vocabulary.places_of(batch.column(1))
+            context, target = windows(np.split(vocabulary.ids[places], np.cumsum(sizes)[:-1]))
+            logs = np.concatenate([np.zeros(0), *(net.logprobs(context[at:at + _SCORED], target[at:at + _SCORED])
+                                                  for at in range(0, len(target), _SCORED))])
             ends = np.cumsum(sizes)
             total = np.concatenate(([0.0], np.cumsum(logs)))
             sums = total[ends] - total[ends - sizes]
             # The words without an id of their own, once a document, with their occurrences there.
-            places = np.concatenate([np.zeros(0, np.int64), *places])
             rare = places >= len(words)
             width = len(vocabulary.ids)
             pairs, times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[rare] * width + places[rare],

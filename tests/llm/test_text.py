@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -200,6 +201,30 @@ def test_scores_equal_plain_loops(spark, docs, monkeypatch):
     assert all(r["mean_logprob"] == (r["log_likelihood"] / r["n_tokens"] if r["n_tokens"] else None) for r in out)
 
 
+def test_words_of_a_batch_are_looked_up_once():
+    """Splitting is as of bytes, whatever the white space, and no word of a batch is looked up for each occurrence."""
+    texts = ["  A b\tc\x0bd\x1ce \x85f  B ", "", "b", None, " ", "a\u00a0b\n\n\n\u00c9 q\r\x0c", "the The tHe " * 500]
+    plain = [(t or "").encode().lower().split() for t in texts]
+    words = lm_scoring.Words(["the", "a"])
+
+    class Counted(dict):
+        looks = 0
+
+        def __getitem__(self, word):
+            self.looks += 1
+            return super().__getitem__(word)
+
+    words.known = Counted(words.known)
+    places, sizes = words.places_of(pa.array(texts))
+    assert sizes.tolist() == [len(p) for p in plain]
+    word = {i: w for w, i in words.known.items()}
+    flat = [w for p in plain for w in p]
+    assert [word[i] for i in places.tolist()] == flat
+    assert words.known.looks <= len(set(flat))
+    empty = words.places_of(pa.array([], pa.string()))
+    assert [len(x) for x in empty] == [0, 0]
+
+
 def test_word_places_outlive_a_full_table(monkeypatch):
     monkeypatch.setattr(lm_scoring, "_HELD_WORDS", 10)
     words = lm_scoring.Words(["a", "b"])
