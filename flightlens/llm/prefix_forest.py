@@ -52,6 +52,9 @@ SEED = 12_007
 _BITS = (2 * BLOCK - 1).bit_length()
 #: Rows of a Python call: units of few rows share one.
 _GROUP_ROWS = 16_384
+#: Units up to which their sizes are broadcast. Nothing else of a level is: Spark sizes the rows of a vector in all trees
+#: as it sizes the vector, and stored units by their bytes on disk, and would broadcast many times as much.
+BROADCAST_UNITS = 20_000
 _UNIT = ["dim", "tree", "level", "prefix"]
 
 
@@ -211,20 +214,21 @@ def compare(classes: DataFrame, active: DataFrame, keep: int) -> DataFrame:
                         F.col("at")).select(*_UNIT, "cid")
     index = _prefixes(classes.select("cid", "dim", "codes"), F.array(*(F.lit(x) for x in levels))).select(*_UNIT, "cid")
     wanted = queries.groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("queries"))
-    sizes = index.join(wanted, _UNIT).groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("n"), F.first("queries").alias("queries"))
+    sizes = index.hint("merge").join(wanted, _UNIT).groupBy(*_UNIT).agg(F.count(F.lit(1)).alias("n"), F.first("queries").alias("queries"))
     sizes = stored(sizes.select(*_UNIT, F.ceil(F.col("n") / TILE).alias("tiles"),
                                 F.ceil(F.col("queries") / QUERY_TILE).alias("blocks"), "n", "queries"), "forest-units")
-    total = sizes.agg(F.sum(F.col("n") * F.col("blocks") + F.col("queries") * F.col("tiles"))).first()[0] or 0
+    n_units, total = sizes.agg(F.count(F.lit(1)), F.sum(F.col("n") * F.col("blocks") + F.col("queries") * F.col("tiles"))).first()
+    counted = F.broadcast(sizes) if n_units <= BROADCAST_UNITS else sizes.hint("merge")
 
     def spread(rows, own, other, query):
         """Rows of a side: one of its own parts by a hash, every part of the other side."""
         mine = F.pmod(F.xxhash64("cid"), F.col(f"{own}s")).cast("int")
         rest = F.explode(F.sequence(F.lit(0), (F.col(f"{other}s") - 1).cast("int")))
-        return rows.join(sizes, _UNIT).select(*_UNIT, mine.alias(own), rest.alias(other), F.lit(query).alias("query"), "cid")
+        return rows.join(counted, _UNIT).select(*_UNIT, mine.alias(own), rest.alias(other), F.lit(query).alias("query"), "cid")
 
     units = spread(index, "tile", "block", 0).unionByName(spread(queries, "block", "tile", 1))
-    groups = F.lit(max(1, total // _GROUP_ROWS))
-    dealt = (units.join(classes.select("cid", "vec", F.element_at("ids", 1).alias("low")), "cid")
+    groups = F.lit(max(1, (total or 0) // _GROUP_ROWS))
+    dealt = (units.hint("merge").join(classes.select("cid", "vec", F.element_at("ids", 1).alias("low")), "cid")
              .withColumn("group", F.pmod(F.xxhash64(*_UNIT, "tile", "block"), groups)))
     ship(classes.sparkSession)
     return dealt.groupBy("group").applyInArrow(_work(keep), "qid long, cid long, low long, score double")

@@ -117,6 +117,36 @@ def test_forest_finds_the_nearest(spark, monkeypatch):
     assert hits >= 0.9 * 5 * len(want)
 
 
+def test_only_short_lists_of_units_are_broadcast(spark, monkeypatch):
+    """Spark sizes the exploded rows of all trees as the table they come from; neither they nor the vectors are broadcast."""
+    frame = spark.createDataFrame(vector_rows(), "vec_id long, embedding array<float>")
+    plans, compare, stored = [], prefix_forest.compare, prefix_forest.stored
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def kept(df, name):
+        if name == "forest-units":
+            plans.append(plan(df))
+        return stored(df, name)
+
+    def seen(*args):
+        out = compare(*args)
+        plans.append(plan(out))
+        return out
+
+    monkeypatch.setattr(prefix_forest, "stored", kept)
+    monkeypatch.setattr(prefix_forest, "compare", seen)
+    few = sorted(map(tuple, prefix_forest.search(frame, 10, 5).collect()))
+    units, dealt = plans[0::2], plans[1::2]
+    assert units and all("SortMergeJoin [dim" in p and "BroadcastHashJoin [dim" not in p for p in units)
+    assert all("SortMergeJoin [cid" in p and "BroadcastHashJoin [dim" in p for p in dealt)
+    del plans[:]
+    monkeypatch.setattr(prefix_forest, "BROADCAST_UNITS", 0)
+    assert sorted(map(tuple, prefix_forest.search(frame, 10, 5).collect())) == few
+    assert plans and all("BroadcastHashJoin [dim" not in p for p in plans)
+
+
 def test_forest_defined_results(spark):
     """Copies, scaled copies, nulls and extreme values; with so few vectors every query ends at the whole table."""
     rng = np.random.default_rng(4)
