@@ -98,6 +98,59 @@ def test_rows_are_written_once_without_a_join(spark, rows, monkeypatch):
     assert fitted.regressors["arrival"].trees[0][0].rows == 499
 
 
+def _same_trees(want, got):
+    """The same splits; predictions but for the order in which rows were added up."""
+    for one, two in zip(want, got, strict=True):
+        assert {k: (n.column, n.value, n.cut, n.rows) for k, n in one.items()} == {k: (n.column, n.value, n.cut, n.rows) for k, n in two.items()}
+        assert all(abs(one[k].prediction - two[k].prediction) < 1e-9 for k in one)
+
+
+def test_labels_share_a_job_for_each_level(spark, rows):
+    """Both labels of a level are one pass over the blocks."""
+    labels = [label for label, _ in model.TARGETS.values()]
+    blocks = boosting.make_blocks(rows, features.CATEGORICAL_COLUMNS, features.NUMERIC_COLUMNS, labels, 32)
+    tracker, group = spark.sparkContext.statusTracker(), "levels"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        both = boosting.fit(blocks, 2, 2)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        blocks.frame.unpersist()
+    assert len(tracker.getJobIdsForGroup(group)) == 1 + 2 * 2       # the sums of all rows, and a job a level
+    for target, (label, _) in model.TARGETS.items():
+        alone = model.fit_delay_models(rows, targets=(target,), max_iter=2, max_depth=2)
+        _same_trees(alone.regressors[target].trees, both[label].trees)
+
+
+def test_tasks_hold_small_blocks_of_whole_categories(spark, rows, monkeypatch):
+    """What a task holds at once does not grow with its rows; a category is in one block."""
+    monkeypatch.setattr(boosting, "FREQUENT", 30)
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 64, raising=False)
+    blocks = boosting.make_blocks(rows, features.CATEGORICAL_COLUMNS, features.NUMERIC_COLUMNS, [features.ARRIVAL_LABEL], 32)
+    held = blocks.frame.collect()
+    assert sum(r.n for r in held if r.part < 0) == 900 and max(r.n for r in held) < 2 * (64 + 900 // 30)
+    assert sum(1 for r in held if r.part < 0) > 10
+    for c in blocks.layout.rare:
+        names = [x for r in held if r.part == c for x in boosting._names(r.names).to_pylist()]
+        assert len(names) == len(set(names)) == blocks.sizes[c] - len(blocks.frequent[c])
+
+
+def test_lost_blocks_are_made_again(spark, rows, monkeypatch):
+    want = model.fit_delay_models(rows, targets=("arrival",), max_iter=9, max_depth=2).regressors["arrival"]
+    settle, lost = boosting._Fit._settle, []
+
+    def loses(self, asks):
+        out = settle(self, asks)
+        lost.append(1)
+        self._release(self.frame)
+        return out
+
+    monkeypatch.setattr(boosting._Fit, "_settle", loses)
+    got = model.fit_delay_models(rows, targets=("arrival",), max_iter=9, max_depth=2).regressors["arrival"]
+    assert lost
+    _same_trees(want.trees, got.trees)
+
+
 def test_arrival_stump_reads_its_flights_once(spark, monkeypatch):
     read = spark.sparkContext.accumulator(0)
 
