@@ -1,13 +1,20 @@
 """Complete requests found as their pages land, with state per request.
 
 ``landing_trigger`` waits for a marker file per batch and then reads the whole
-batch. Here the page files themselves are the stream. Spark keeps a small state
+batch. Here the page files themselves are the stream. A small state is kept
 per request, which pages of it are readable and which of them end it, and a
 request comes out once, in the trigger in which its last missing page lands,
 whatever the order of its pages. Page bodies are parsed by Spark's functions
 and never enter the state: it holds a number and a flag per page of the
 requests that are still open, nothing but a mark for those that are complete.
 
+Requests are dealt by a hash of their key to ``BUCKETS`` buckets, whose requests
+share a row of Spark's state, and so a Python call in a trigger. Each request
+still has a timeout of its own: the row's is the first of them. The number of
+buckets and the form of the state belong to the checkpoint; a stream that is to
+go on with others starts with a new checkpoint, and the ledger keeps the loads
+from being done twice.
+
 Event time is when a page landed. A request that has had no page for
 ``give_up_after`` (measured against the newest page of any request) is given
 up: it comes out as such with the number of its readable pages, and its state
@@ -23,6 +30,8 @@ never readable, a page that lands twice counts once. No pages, no rows.
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -42,7 +51,8 @@ COMPLETE, GIVEN_UP = "complete", "given up"
 GIVEN_UP_TABLE = "given_up_requests"
 _OUTPUT = ("dataset string, batch_id string, request_id string, limit int, stop int, outcome string, "
            "readable_pages int")
-_STATE = "done boolean, offsets array<int>, ends array<boolean>"
+_STATE = "requests binary"
+BUCKETS = 256
 
 
 def _judge():
@@ -51,34 +61,45 @@ def _judge():
     columns = ["dataset", "batch_id", "request_id", "limit", "stop", "outcome", "readable_pages"]
     whole = {"limit", "stop", "readable_pages"}
 
-    def row(key, stop, outcome, readable) -> pd.DataFrame:
-        values = zip(columns, [*key, stop, outcome, readable])
-        return pd.DataFrame({c: pd.array([v], "Int32") if c in whole else [v] for c, v in values})
+    def number(x):
+        return None if x is None or x != x else int(x)
 
     def judge(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done, offsets, ends = state.get if state.exists else (False, [], [])
-        if state.hasTimedOut:
-            state.remove()
-            if not done:
-                yield row(key, None, given_up, len(offsets))
-            return
-        good, latest = dict(zip(offsets, ends)), 0
-        for frame in frames:
+        # A request: whether it is done, when it is given up, and the readable pages with whether they end it.
+        held = {} if not state.exists else {
+            tuple(request): (done, due, dict(zip(offsets, ends)))
+            for *request, done, due, offsets, ends in json.loads(zlib.decompress(bytes(state.get[0])))}
+        now, seen, out = state.getCurrentWatermarkMs(), {}, []
+        for frame in () if state.hasTimedOut else frames:
             # Plain lists: a request has few pages, and there are many requests.
-            latest = max(latest, int(max(frame["landed_ms"].tolist())))
-            for offset, end, readable in zip(*(frame[c].tolist() for c in ("offset", "ends", "page_ok"))):
+            for dataset, batch_id, request_id, limit, offset, end, readable, landed in zip(*(frame[c].tolist() for c in (
+                    "dataset", "batch_id", "request_id", "limit", "offset", "ends", "page_ok", "landed_ms"))):
+                request = (dataset, batch_id, request_id, number(limit))
+                seen[request] = max(seen.get(request, 0), int(landed))
+                pages = held.setdefault(request, (False, 0, {}))[2]
                 if readable:
-                    good[int(offset)] = good.get(int(offset), False) or bool(end)
-        if not done:
-            stop = min((offset for offset, end in good.items() if end), default=None)
-            limit = key[3]
-            if stop is not None and stop % limit == 0 and all(o in good for o in range(0, stop + 1, limit)):
-                done = True
-                yield row(key, stop, complete, len(good))
-        if done:
-            good = {}
-        state.update((done, list(good), list(good.values())))
-        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs() + 1))
+                    pages[int(offset)] = pages.get(int(offset), False) or bool(end)
+        for request, latest in seen.items():
+            done, _, pages = held[request]
+            if not done:
+                stop = min((offset for offset, end in pages.items() if end), default=None)
+                limit = request[3]
+                if stop is not None and stop % limit == 0 and all(o in pages for o in range(0, stop + 1, limit)):
+                    done = True
+                    out.append((*request, stop, complete, len(pages)))
+            held[request] = (done, max(latest, now + 1), {} if done else pages)
+        for request in [r for r, (_, due, _) in held.items() if due < now]:
+            done, _, pages = held.pop(request)
+            if not done:
+                out.append((*request, None, given_up, len(pages)))
+        if held:
+            rows = [(*request, done, due, list(pages), list(pages.values())) for request, (done, due, pages) in held.items()]
+            state.update((zlib.compress(json.dumps(rows).encode(), 1),))
+            state.setTimeoutTimestamp(max(min(due for _, due, _ in held.values()), now + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame({c: pd.array(v, "Int32") if c in whole else list(v) for c, v in zip(columns, zip(*out))})
 
     return judge
 
@@ -92,9 +113,9 @@ def outcomes(pages: DataFrame, give_up_after: str = "1 day",
     """
     parsed = landing.parse_pages(pages.withWatermark(LANDED_AT, give_up_after), records_must_be_objects)
     seen = parsed.select(
-        *landing.REQUEST_KEY, "offset", "page_ok", LANDED_AT, F.unix_millis(LANDED_AT).alias("landed_ms"),
+        F.pmod(F.xxhash64(*landing.REQUEST_KEY), F.lit(BUCKETS)).cast("int").alias("bucket"), *landing.REQUEST_KEY, "offset", "page_ok", LANDED_AT, F.unix_millis(LANDED_AT).alias("landed_ms"),
         F.coalesce(F.col("offset") + F.col("limit") >= F.col("total"), F.lit(False)).alias("ends"))
-    return seen.groupBy(*landing.REQUEST_KEY).applyInPandasWithState(
+    return seen.groupBy("bucket").applyInPandasWithState(
         _judge(), _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 

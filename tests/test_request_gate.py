@@ -130,6 +130,35 @@ def test_gate_agrees_with_the_batch_rule(spark, tmp_dir, seed):
     assert spark.read.parquet(f"{tmp_dir}/out").count() == len(found) > 5
 
 
+def _judged(spark, path, tmp_dir, rows):
+    """Outcomes after another part with ``rows`` (request, offset, total, hours), and the rows of Spark's state."""
+    data = [('{"pagination": {"total": %d}, "data": []}' % total, "flights", None, r, 2, offset, hours) for r, offset, total, hours in rows]
+    frame = spark.createDataFrame(data, "value string, dataset string, batch_id string, request_id string, limit int, offset int, hours int")
+    frame.withColumn(request_gate.LANDED_AT, F.timestamp_seconds(F.col("hours") * 3600 + 1_000_000)).drop("hours").write.mode("append").parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    query = (request_gate.outcomes(stream, "1 hour").writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+             .option("checkpointLocation", f"{tmp_dir}/state").start(f"{tmp_dir}/out"))
+    query.awaitTermination(300)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    return {(r.request_id, r.outcome, r.stop, r.readable_pages) for r in spark.read.parquet(f"{tmp_dir}/out").collect()}, states
+
+
+def test_requests_share_state_and_time_out_on_their_own(spark, tmp_dir, monkeypatch):
+    """Many requests are one row of state, one call; in a bucket with new pages the stale requests go, others stay."""
+    monkeypatch.setattr(request_gate, "BUCKETS", 1, raising=False)
+    path, whole, gone = f"{tmp_dir}/pages", request_gate.COMPLETE, request_gate.GIVEN_UP
+    many = {(f"m{i}", whole, 0, 1) for i in range(50)}
+    found, states = _judged(spark, path, tmp_dir, [("old", 0, 4, 0), *((f"m{i}", 0, 1, 0) for i in range(50))])
+    assert found == many and states[-1] == 1
+    _judged(spark, path, tmp_dir, [("new", 0, 4, 3), (None, 0, 9, 3)])
+    found, states = _judged(spark, path, tmp_dir, [("new", 2, 4, 4), ("next", 0, 4, 4)])
+    assert found == many | {("old", gone, None, 1), ("new", whole, 2, 2)} and states[-1] == 1
+    for request in ("late", "later"):
+        found, _ = _judged(spark, path, tmp_dir, [(request, 0, 1, 9)])
+    assert found == many | {("old", gone, None, 1), ("new", whole, 2, 2), ("next", gone, None, 1), (None, gone, None, 1),
+                            ("late", whole, 0, 1), ("later", whole, 0, 1)}
+
+
 def test_only_folders_of_the_requests_are_read(spark, tmp_dir):
     root = f"{tmp_dir}/landing"
     for r in range(6):
